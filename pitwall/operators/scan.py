@@ -50,34 +50,34 @@ def prefix_scan(
     sums = dict(sums or {})
     order_desc = descending if order_desc is None else order_desc
     keys = list(keys)
-    slice_names = [f"__slice{i}" for i in range(len(slices))]
+    slice_names = [f"__scan_slice{i}" for i in range(len(slices))]
     tagged = df.withColumns({
         n: (F.col(s) if isinstance(s, str) else s) for n, s in zip(slice_names, slices)})
     order_cols = [_direction(F.col(o), order_desc) if isinstance(o, str) else o for o in order]
 
-    aggregates = [F.count(F.lit(1)).alias("__rows")] + [
-        F.sum(F.col(c) if isinstance(c, str) else c).alias(f"__total_{a}") for a, c in sums.items()]
+    aggregates = [F.count(F.lit(1)).alias("__scan_rows")] + [
+        F.sum(F.col(c) if isinstance(c, str) else c).alias(f"__scan_total_{a}") for a, c in sums.items()]
     totals = tagged.groupBy(*keys, *slice_names).agg(*aggregates)
     # Bounded by keys x slices; without a key this is the list of slices alone.
     before = (Window.partitionBy(*keys).orderBy(*[_direction(F.col(s), descending) for s in slice_names])
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(
         *keys, *slice_names,
-        F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__off_rows"),
-        *[F.coalesce(F.sum(f"__total_{a}").over(before), F.lit(0)).alias(f"__off_{a}") for a in sums])
+        F.coalesce(F.sum("__scan_rows").over(before), F.lit(0)).alias("__scan_off_rows"),
+        *[F.coalesce(F.sum(f"__scan_total_{a}").over(before), F.lit(0)).alias(f"__scan_off_{a}") for a in sums])
 
     inside = Window.partitionBy(*keys, *slice_names).orderBy(*order_cols)
     earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
     local = tagged.withColumns({
-        "__pos": F.row_number().over(inside).cast("bigint") - 1,
-        **{f"__in_{a}": F.coalesce(F.sum(F.col(c) if isinstance(c, str) else c).over(earlier), F.lit(0))
+        "__scan_pos": F.row_number().over(inside).cast("bigint") - 1,
+        **{f"__scan_in_{a}": F.coalesce(F.sum(F.col(c) if isinstance(c, str) else c).over(earlier), F.lit(0))
            for a, c in sums.items()}})
     joined = local.join(offsets, [*keys, *slice_names], "left")
-    out = {a: F.col(f"__off_{a}") + F.col(f"__in_{a}") for a in sums}
+    out = {a: F.col(f"__scan_off_{a}") + F.col(f"__scan_in_{a}") for a in sums}
     if count:
-        out[count] = F.col("__off_rows") + F.col("__pos")
-    temp = [*slice_names, "__pos", "__off_rows",
-            *[f"__in_{a}" for a in sums], *[f"__off_{a}" for a in sums]]
+        out[count] = F.col("__scan_off_rows") + F.col("__scan_pos")
+    temp = [*slice_names, "__scan_pos", "__scan_off_rows",
+            *[f"__scan_in_{a}" for a in sums], *[f"__scan_off_{a}" for a in sums]]
     return joined.withColumns(out).drop(*temp)
 
 
