@@ -52,6 +52,12 @@ def score_numbers(predicted: DataFrame) -> dict[str, float]:
 
 # ------------------------------------------------------------ one prepared split
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Training passes over its rows many times: give every core a part of them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 class Prepared:
     """Rows of a split as (id, features, label, weight): fitted on train, kept for all grid points."""
 
@@ -60,9 +66,10 @@ class Prepared:
         self.pre = fit_preprocessor(train, categories, numbers, kind=candidate.kind, min_frequency=min_frequency)
 
         def ready(df: DataFrame) -> DataFrame:
-            return self.pre.transform(df).select("id", "features", F.col("label").cast("double").alias("label"))
+            rows = self.pre.transform(df).select("id", "features", F.col("label").cast("double").alias("label"))
+            return _spread(rows).persist(StorageLevel.MEMORY_AND_DISK)
 
-        self.train, self.valid = ready(train).persist(StorageLevel.MEMORY_AND_DISK), ready(valid).persist(StorageLevel.MEMORY_AND_DISK)
+        self.train, self.valid = ready(train), ready(valid)
         fit = self.train
         if use_smote and candidate.smote:
             dense = fit.select("id", vector_to_array("features").alias("x"), "label")
@@ -70,7 +77,7 @@ class Prepared:
             fit = made.select("id", array_to_vector("x").alias("features"), "label")
         if candidate.weighted and classify:
             fit = class_weights(fit, "label")
-        self.fit = fit.persist(StorageLevel.MEMORY_AND_DISK)
+        self.fit = fit if fit is self.train else fit.persist(StorageLevel.MEMORY_AND_DISK)
         facts = self.fit.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("label").alias("s")).first()
         self.facts = Facts(facts["n"], facts["s"] or 1.0)
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
-    PCA, OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler, VectorSlicer)
+    PCA, OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler, VectorSlicer)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,11 +67,13 @@ def learn_numbers(train: DataFrame, columns: Sequence[str]) -> Learned:
 
 
 def learn_modes(train: DataFrame, columns: Sequence[str]) -> dict[str, str]:
-    out = {}
+    """Most frequent value per column, the smallest on ties."""
+    parts = None
     for c in columns:
-        row = entity_modes(train.select(F.col(c).cast("string").alias(c)), [], c, "m").first()
-        out[c] = row["m"] if row and row["m"] is not None else ""
-    return out
+        mode = entity_modes(train.select(F.col(c).cast("string").alias(c)), [], c, "m").select(F.lit(c).alias("c"), "m")
+        parts = mode if parts is None else parts.unionByName(mode)
+    found = {r["c"]: r["m"] for r in parts.collect()}  # one row per column
+    return {c: found.get(c) or "" for c in columns}
 
 
 def impute(df: DataFrame, numbers: Learned, modes: Mapping[str, str]) -> DataFrame:
@@ -113,35 +115,51 @@ def _sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+# A one-hot vocabulary is part of the model and lives in every task.
+MAX_VOCABULARY = 5_000_000
+
+
+def vocabularies(train: DataFrame, columns: Sequence[str]) -> dict[str, list[tuple[str, int]]]:
+    """(value, rows) of each categorical column, most frequent first, in one job."""
+    long = train.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])).alias("e")).select("e.*")
+    counts = long.where(F.col("v").isNotNull()).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.limit(MAX_VOCABULARY + 1).collect()
+    if len(rows) > MAX_VOCABULARY:
+        raise ValueError(f"more than {MAX_VOCABULARY} categories in {list(columns)}: not one-hot material")
+    out: dict[str, list[tuple[str, int]]] = {c: [] for c in columns}
+    for r in rows:
+        out[r["c"]].append((r["v"], r["n"]))
+    return {c: sorted(v, key=lambda x: (-x[1], x[0])) for c, v in out.items()}
+
+
 def _category_stages(train: DataFrame, columns: Sequence[str], min_frequency: int) -> list:
     """Index columns so that rare values share one index and unknown ones get none.
 
     Index in the vocabulary of all training values tells unknown from known;
     index in the vocabulary of frequent values tells rare from frequent.
     """
-    modes = learn_modes(train, columns)
-    filled = ", ".join(f"coalesce(CAST(`{c}` AS STRING), {_sql_text(m)}) AS `{c}__s`" for c, m in modes.items())
-    fill = SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
-    rows = fill.transform(train)
-    everything = StringIndexer(inputCols=[f"{c}__s" for c in columns], outputCols=[f"{c}__a" for c in columns],
-                               handleInvalid="keep", stringOrderType="alphabetAsc").fit(rows)
-    if min_frequency <= 1:
-        return [fill, everything,
-                OneHotEncoder(inputCols=[f"{c}__a" for c in columns], outputCols=[f"{c}__v" for c in columns],
-                              handleInvalid="keep", dropLast=True)]
-    stages, cases = [fill, everything], []
-    for c, labels in zip(columns, everything.labelsArray):
-        counts = rows.groupBy(f"{c}__s").count().where(F.col("count") >= min_frequency)
-        frequent = sorted(r[0] for r in counts.select(f"{c}__s").collect())  # a part of the vocabulary above
-        stages.append(StringIndexerModel.from_labels(frequent or [labels[0]], inputCol=f"{c}__s",
-                                                     outputCol=f"{c}__f", handleInvalid="keep"))
-        n_all, n_freq = len(labels), len(frequent or [labels[0]])
-        cases.append(f"CAST(CASE WHEN `{c}__a` = {n_all} THEN {n_freq + 1} WHEN `{c}__f` = {n_freq} THEN {n_freq} "
-                     f"ELSE `{c}__f` END AS DOUBLE) AS `{c}__i`")
-    stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(cases)} FROM __THIS__"))
-    stages.append(OneHotEncoder(inputCols=[f"{c}__i" for c in columns], outputCols=[f"{c}__v" for c in columns],
-                                handleInvalid="keep", dropLast=True))
-    return stages
+    known = vocabularies(train, columns)
+    modes = {c: (v[0][0] if v else "") for c, v in known.items()}
+    fills = ", ".join(f"coalesce(CAST(`{c}` AS STRING), {_sql_text(m)}) AS `{c}__s`" for c, m in modes.items())
+    everything, frequent, cases = [], [], []
+    for c in columns:
+        labels = sorted(v for v, _ in known[c]) or [""]
+        often = sorted(v for v, n in known[c] if n >= min_frequency) or labels[:1]
+        everything.append(labels)
+        frequent.append(often)
+        cases.append(f"CAST(CASE WHEN `{c}__a` = {len(labels)} THEN {len(often) + 1} WHEN `{c}__f` = {len(often)} "
+                     f"THEN {len(often)} ELSE `{c}__f` END AS DOUBLE) AS `{c}__i`")
+
+    def index(labels: list[list[str]], suffix: str) -> StringIndexerModel:
+        return StringIndexerModel.from_arrays_of_labels(
+            labels, inputCols=[f"{c}__s" for c in columns], outputCols=[f"{c}{suffix}" for c in columns],
+            handleInvalid="keep")
+
+    return [SQLTransformer(statement=f"SELECT *, {fills} FROM __THIS__"), index(everything, "__a"),
+            index(frequent, "__f"), SQLTransformer(statement=f"SELECT *, {', '.join(cases)} FROM __THIS__"),
+            OneHotEncoder(inputCols=[f"{c}__i" for c in columns], outputCols=[f"{c}__v" for c in columns],
+                          handleInvalid="keep", dropLast=True)]
 
 
 def fit_preprocessor(train: DataFrame, categories: Sequence[str], numbers: Sequence[str], *,

@@ -33,28 +33,33 @@ def _kept(spark, sf, name: str, build) -> DataFrame:
     """A model input written once per application and read by all queries on it."""
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _tables:
-        _tables[key] = materialise(build(spark, sf).withColumn(
-            "id", F.col("raceId") * 1_000_000 + F.col("driverId")))
+        _tables[key] = materialise(build(spark, sf))
     return _tables[key]
 
 
+def _with_id(df: DataFrame) -> DataFrame:
+    return df.withColumn("id", F.col("raceId") * 1_000_000 + F.col("driverId"))
+
+
 def cls_table(spark, sf) -> DataFrame:
-    return _kept(spark, sf, "cls", cls_input).withColumnRenamed("target_cls", "label")
+    return _kept(spark, sf, "cls", lambda *a: _with_id(cls_input(*a))).withColumnRenamed("target_cls", "label")
 
 
 def reg_table(spark, sf) -> DataFrame:
-    return _kept(spark, sf, "reg", reg_input)
+    return _kept(spark, sf, "reg", lambda *a: _with_id(reg_input(*a)))
 
 
-def cls_sides(spark, sf) -> tuple[DataFrame, DataFrame]:
-    split = G.split_stratified(cls_table(spark, sf), IDS, "label")
+def _sides(split: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split.where(F.col("split") == "train").drop("split"), split.where(F.col("split") == "test").drop("split")
 
 
+def cls_sides(spark, sf) -> tuple[DataFrame, DataFrame]:
+    return _sides(_kept(spark, sf, "cls_split", lambda *a: G.split_stratified(cls_table(*a), IDS, "label")))
+
+
 def reg_sides(spark, sf, mode: str = "pace") -> tuple[DataFrame, DataFrame, bool]:
     rows, residual = prep.choose_target(reg_table(spark, sf), mode)
-    split = G.split_time(rows.withColumn("label", F.col("y")), IDS, 1999)
-    return split.where(F.col("split") == "train").drop("split"), split.where(F.col("split") == "test").drop("split"), residual
+    return *_sides(G.split_time(rows.withColumn("label", F.col("y")), IDS, 1999)), residual
 
 
 _CLS = dict(categories=prep.CLS_CATEGORIES, numbers=prep.CLS_NUMBERS, min_frequency=10, use_smote=False, smote_k=5, classify=True)
