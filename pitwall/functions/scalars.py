@@ -15,10 +15,6 @@ MISSING_TOKENS = ["\\N", "NA", "N/A", "NULL", "null", "NaN", "nan", "None", "n/a
 # Right edges of the regulation eras.
 ERA_EDGES = [1999, 2005, 2010, 2014, 2017, 2021, 2025]
 
-# The part of a double that a reader would call a number: no 'd'/'f' suffix.
-_JAVA_SUFFIX = r"[0-9.][dDfF]\s*$"
-
-
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -29,11 +25,14 @@ def missing_to_null(c: str | Column) -> Column:
     return F.when((text == "") | text.isin(MISSING_TOKENS), None).otherwise(col(c))
 
 
+# What a reader takes for a number; the cast alone would take '1.5d' and '2f', too.
+_NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*$"
+
+
 def to_num(c: str | Column) -> Column:
-    """Text or number to double; what is not a number becomes NULL, never NaN."""
+    """Text to double; what is not a number becomes NULL, never NaN."""
     text = col(c).cast("string")
-    value = F.when(text.rlike(_JAVA_SUFFIX), None).otherwise(text.try_cast("double"))
-    return F.when(~F.isnan(value), value)
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def number(df: DataFrame, name: str) -> Column:
@@ -53,14 +52,20 @@ def whole(df: DataFrame, name: str) -> Column:
 
 
 def lap_time_ms(c: str | Column) -> Column:
-    """'1:23.456' or '83.456' to milliseconds; anything else to NULL."""
-    parts = F.split(F.trim(col(c)), ":")
-    seconds = (
-        F.when(F.size(parts) == 1, to_num(parts[0]))
-        .when(F.size(parts) == 2, to_num(F.get(parts, F.lit(0))) * F.lit(60.0)
-              + to_num(F.get(parts, F.lit(1))))
-    )
-    return seconds * F.lit(1000.0)
+    """'1:23.456' or '83.456' to milliseconds; anything else to NULL.
+
+    The text is cut at its first colon.  Both parts are read as decimals, which
+    take no 'nan' and no second colon.
+    """
+    text = col(c)
+    colon = F.instr(text, ":")
+    minutes = F.when(colon > 0, _decimal(F.substring_index(text, ":", 1))).otherwise(F.lit(0.0))
+    seconds = _decimal(F.substr(text, colon + 1))
+    return (minutes * F.lit(60.0) + seconds) * F.lit(1000.0)
+
+
+def _decimal(text: Column) -> Column:
+    return text.try_cast("decimal(38,12)").cast("double")
 
 
 def to_day(c: str | Column) -> Column:

@@ -123,7 +123,7 @@ def add_history(
     plan = [([k] if isinstance(k, str) else list(k), list(stats)) for k, stats in plan]
     # A composite key is never larger than its first column.
     firsts = list(dict.fromkeys(keys[0] for keys, _ in plan))
-    sizes = sizes if sizes is not None else group_sizes(df, firsts)
+    sizes = sizes if sizes is not None else group_sizes(df, firsts, hot_rows)
     hot = [sizes.get(keys[0], sizes[""]) > hot_rows for keys, _ in plan]
     if not any(hot):
         for keys, stats in plan:

@@ -15,14 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.operators.scan import group_sizes
-from pitwall.session import ROWS_PER_TASK
 
-ACCURACY = 100_000
-
-
-def percentile_of(column: str | Column, p: float) -> Column:
-    """Exact, interpolated; NULL skipped."""
-    return F.percentile(F.col(column) if isinstance(column, str) else column, F.lit(p))
+# Groups up to this size keep a plain value table.
+PLAIN_ROWS = 1_000_000
+# Accuracy of the bracket: at least this, and fine enough that at most about
+# BRACKET_ROWS values of the largest group fall inside.
+MIN_ACCURACY = 10_000
+BRACKET_ROWS = 1_000_000
 
 
 def grouped_agg(
@@ -30,7 +29,7 @@ def grouped_agg(
     by: Sequence[str],
     aggregates: Sequence[Column],
     quantiles: Mapping[str, tuple[str, float]],
-    max_rows: int = ROWS_PER_TASK,
+    max_rows: int = PLAIN_ROWS,
     sizes: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """``df.groupBy(by).agg(*aggregates)`` plus exact quantiles.
@@ -40,34 +39,50 @@ def grouped_agg(
     """
     by = list(by)
     if quantiles:
-        sizes = sizes if sizes is not None else group_sizes(df, by[:1])
+        sizes = sizes if sizes is not None else group_sizes(df, by[:1], max_rows)
         largest = sizes.get(by[0], sizes[""]) if by else sizes[""]
         if largest > max_rows:
-            return _bracketed(df, by, aggregates, quantiles)
-    return df.groupBy(*by).agg(
-        *aggregates, *[percentile_of(c, p).alias(a) for a, (c, p) in quantiles.items()])
-
-
-def _bracketed(df, by, aggregates, quantiles) -> DataFrame:
-    slack = 3 / ACCURACY
-    brackets = []
-    for a, (c, p) in quantiles.items():
-        x = F.col(c)
-        near = F.percentile_approx(x, [max(0.0, p - slack), min(1.0, p + slack)], ACCURACY)
-        # Below ACCURACY rows the slack is less than three ranks: no clamping there.
-        brackets.append(F.when(F.count(x) > ACCURACY, near).alias(f"__b_{a}"))
-    edges = df.groupBy(*by).agg(*brackets)
+            return _bracketed(df, by, aggregates, quantiles, max(MIN_ACCURACY, 6 * largest // BRACKET_ROWS))
+    shared, picks = _shared_quantiles({a: (F.col(c), c, p) for a, (c, p) in quantiles.items()})
+    out = df.groupBy(*by).agg(*aggregates, *shared)
+    temp = [f"__q_{c}" for c in dict.fromkeys(c for c, _ in quantiles.values())]
+    return out.withColumns(picks).drop(*temp) if picks else out
+
+
+def _shared_quantiles(quantiles: Mapping[str, tuple[Column, str, float]]):
+    """One value table per column, however many of its quantiles are asked for."""
+    by_column: dict[str, tuple[Column, list[float]]] = {}
+    for value, c, p in quantiles.values():
+        ps = by_column.setdefault(c, (value, []))[1]
+        if p not in ps:
+            ps.append(p)
+    shared = [F.percentile(value, F.array(*[F.lit(p) for p in ps])).alias(f"__q_{c}")
+              for c, (value, ps) in by_column.items()]
+    picks = {a: F.col(f"__q_{c}")[by_column[c][1].index(p)] for a, (_, c, p) in quantiles.items()}
+    return shared, picks
+
+
+def _bracketed(df, by, aggregates, quantiles, accuracy: int) -> DataFrame:
+    slack = 3 / accuracy
+    wanted: dict[str, list[float]] = {}
+    for c, p in quantiles.values():
+        wanted.setdefault(c, []).extend((max(0.0, p - slack), min(1.0, p + slack)))
+    # One sketch per column.  Up to ``accuracy`` rows the slack is less than three
+    # ranks: no clamping there.
+    brackets = [F.when(F.count(c) > accuracy, F.percentile_approx(c, ps, accuracy)).alias(f"__b_{c}")
+                for c, ps in wanted.items()]
+    edges = df.groupBy(*by).agg(*brackets) if by else df.agg(*brackets)
     if by:
         held = df.join(edges, by, "left")
     else:
-        edge = edges.select(F.struct(*[f"__b_{a}" for a in quantiles])).scalar()
-        held = df.withColumn("__edge", edge).select("*", "__edge.*")
-    clamped = {
-        a: F.when(F.col(f"__b_{a}").isNull() | F.col(c).isNull(), F.col(c)).otherwise(
-            F.greatest(F.least(F.col(c), F.col(f"__b_{a}")[1]), F.col(f"__b_{a}")[0]))
-        for a, (c, _) in quantiles.items()}
-    return held.groupBy(*by).agg(
-        *aggregates, *[percentile_of(clamped[a], p).alias(a) for a, (_, p) in quantiles.items()])
+        held = df.withColumn("__edge", scalar_of(edges)).select("*", "__edge.*").drop("__edge")
+    exact, used = [], {c: 0 for c in wanted}
+    for a, (c, p) in quantiles.items():
+        x, edge, i = F.col(c), F.col(f"__b_{c}"), used[c]
+        used[c] += 2
+        clamped = F.when(edge.isNull() | x.isNull(), x).otherwise(F.greatest(F.least(x, edge[i + 1]), edge[i]))
+        exact.append(F.percentile(clamped, F.lit(p)).alias(a))
+    return held.groupBy(*by).agg(*aggregates, *exact)
 
 
 def global_stats(df: DataFrame, means: Mapping[str, str] | None = None,

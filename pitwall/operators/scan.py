@@ -111,16 +111,16 @@ def value_slices(df: DataFrame, column: str, *, name: str,
     return Bucketizer(splits=splits, inputCol=column, outputCol=name).transform(df)
 
 
-def group_sizes(df: DataFrame, keys: Sequence[str] = ()) -> dict[str, int]:
+def group_sizes(df: DataFrame, keys: Sequence[str] = (), limit: int = ROWS_PER_TASK) -> dict[str, int]:
     """Total rows (under "") and rows of the largest group of each key.
 
-    A table that fits one task cannot hold a hot key, so there its count is the
-    bound for every key.  The sizes also bound any subset of the rows, so one
+    A table of at most ``limit`` rows cannot hold a larger group, so there its
+    count is the bound for every key.  The sizes also bound any subset of the rows, so one
     measurement serves all later steps on filtered rows.
     """
     total = df.count()
     sizes = {"": total, **{k: total for k in keys}}
-    if total <= ROWS_PER_TASK or not keys:
+    if total <= limit or not keys:
         return sizes
     parts = None
     for k in keys:

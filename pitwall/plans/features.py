@@ -140,7 +140,8 @@ def classification_history(df: DataFrame, row_key: str = "rowId") -> DataFrame:
     out = H.add_history(df, [
         (key, [H.prev_mean("target_cls", f"{name}_prev_rate"), H.prev_count(f"{name}_prev_count")])
         for key, name in ENTITIES], [*RACE_ORDER, row_key], SLICES)
-    return out.withColumns({f"{n}_prev_rate": F.coalesce(F.col(f"{n}_prev_rate"), rate) for _, n in ENTITIES})
+    return out.withColumn("__rate", rate).withColumns({
+        f"{n}_prev_rate": F.coalesce(F.col(f"{n}_prev_rate"), F.col("__rate")) for _, n in ENTITIES}).drop("__rate")
 
 
 def _pace_stats(name: str, resid: bool) -> list[H.Stat]:
@@ -406,13 +407,19 @@ def driver_season(results: DataFrame, races: DataFrame, qualifying: DataFrame |
         "is_finish": S.flag(finish), "is_podium": S.flag(F.col("positionOrder") <= 3),
         "is_win": S.flag(F.col("positionOrder") == 1),
         "pace_ms_lap": F.when(sane, F.col("milliseconds") / F.nullif(F.col("laps"), F.lit(0.0)))})
+    rows = materialise(rows.select(*by, "raceId", "constructorId", "points", "grid", "is_finish", "is_podium", "is_win",
+                                   "pace_ms_lap"))  # read four times below
+    # Distinct races on their own: next to exact medians, a distinct count would
+    # carry every other aggregate through a pass per (driver, season, race).
+    races_run = rows.select(*by, "raceId").distinct().groupBy(*by).agg(F.count("raceId").alias("n_races"))
     out = grouped_agg(rows, by, [
-        F.count_distinct("raceId").alias("n_races"), F.sum("is_finish").alias("n_finish"),
+        F.sum("is_finish").alias("n_finish"),
         F.avg("is_finish").alias("finish_rate"), F.avg("is_podium").alias("podium_rate"),
         F.avg("is_win").alias("win_rate"), F.coalesce(F.sum("points"), F.lit(0.0)).alias("points_sum"),
         F.avg("points").alias("points_avg"), F.avg("grid").alias("grid_avg"),
         F.avg("pace_ms_lap").alias("pace_avg"),
-    ], {"grid_median": ("grid", 0.5), "pace_median": ("pace_ms_lap", 0.5)}).where(F.col("n_races") >= min_races)
+    ], {"grid_median": ("grid", 0.5), "pace_median": ("pace_ms_lap", 0.5)})
+    out = out.join(races_run.where(F.col("n_races") >= min_races), by)
     out = out.join(A.entity_modes(rows, by, "constructorId", "constructor_mode"), by, "left")
     if qualifying is not None:
         q = qualifying.select("raceId", "driverId", S.number(qualifying, "position").alias("position")).join(when, "raceId", "left")

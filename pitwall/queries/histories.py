@@ -126,11 +126,16 @@ _QUALI = R.with_ctes(R.CARS, R.QUALIFYING) + f"""
         FROM q)"""
 
 
+def quali_table(spark, sf):
+    """The session times as a table of text, as they would be read from a file."""
+    return materialise(R.qualifying(spark, sf))
+
+
 @query("feat_qualifying", _QUALI + """
 SELECT raceId, driverId, quali_position, round(quali_best_ms, 6) AS quali_best_ms, quali_has_q2, quali_has_q3,
        round(quali_gap_to_pole_ms, 6) AS quali_gap_to_pole_ms FROM quali""")
 def feat_qualifying(spark, sf):
-    return R.rounded(P.qualifying_features(R.qualifying(spark, sf)), {"quali_best_ms": 6, "quali_gap_to_pole_ms": 6})
+    return R.rounded(P.qualifying_features(quali_table(spark, sf)), {"quali_best_ms": 6, "quali_gap_to_pole_ms": 6})
 
 
 @query("win_gap_to_best", _QUALI + """
@@ -138,7 +143,7 @@ SELECT raceId, driverId, round(quali_gap_to_pole_ms, 6) AS gap,
        round(greatest(least(quali_gap_to_pole_ms / (abs(quali_best_ms) + 1.0), 5), -1), 9) AS gap_pct
 FROM quali WHERE quali_best_ms IS NOT NULL""")
 def win_gap_to_best(spark, sf):
-    q = P.qualifying_features(R.qualifying(spark, sf)).withColumn("grid", F.lit(1))
+    q = P.qualifying_features(quali_table(spark, sf)).withColumn("grid", F.lit(1))
     out = P.quali_derived(q).where(F.col("quali_best_ms").isNotNull())
     return out.select("raceId", "driverId", F.round("quali_gap_to_pole_ms", 6).alias("gap"),
                       F.round("quali_gap_pct", 9).alias("gap_pct"))
@@ -154,7 +159,7 @@ _IN_RACE = """
 
 
 def _in_race(spark, sf):
-    return P.quali_in_race(P.qualifying_features(R.qualifying(spark, sf)))
+    return P.quali_in_race(P.qualifying_features(quali_table(spark, sf)))
 
 
 @query("win_zscore", _QUALI + _IN_RACE + "SELECT raceId, driverId, round(quali_zscore_in_race, 6) AS z FROM in_race")
@@ -363,15 +368,15 @@ def _sql_quali_rolls(src: str) -> str:
          JOIN cars c ON c.l_orderkey = q.raceId AND c.l_suppkey = q.driverId)
 SELECT raceId, driverId, {_sql_quali_rolls('qd')} FROM qd""")
 def feat_quali_rolls(spark, sf):
-    q = P.qualifying_features(R.qualifying(spark, sf)).join(R.races(spark, sf), "raceId").join(
+    q = P.qualifying_features(quali_table(spark, sf)).join(R.races(spark, sf), "raceId").join(
         R.results(spark, sf).select("raceId", "driverId", "constructorId"), ["raceId", "driverId"])
     names = [f"{p}_quali_roll_mean_{w}" for _, p, w in _ROLLS]
-    return R.rounded(P.quali_rolls(q, "driverId").select("raceId", "driverId", *names), {n: 3 for n in names})
+    return R.rounded(P.quali_rolls(materialise(q), "driverId").select("raceId", "driverId", *names), {n: 3 for n in names})
 
 
 def reg_input(spark, sf):
     return P.regression_input(
-        R.results(spark, sf), R.races(spark, sf), R.qualifying(spark, sf), R.driver_standings(spark, sf),
+        R.results(spark, sf), R.races(spark, sf), quali_table(spark, sf), R.driver_standings(spark, sf),
         R.team_standings(spark, sf), min_year=1996, row_key="driverId")
 
 

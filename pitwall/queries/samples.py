@@ -8,6 +8,7 @@ from pitwall.models import prep
 from pitwall.operators import sampling as G
 from pitwall.queries import query
 from pitwall.queries import roles as R
+from pitwall.session import materialise
 
 IDS = ["raceId", "driverId"]
 _D = R.with_ctes(R.DATED)
@@ -108,7 +109,7 @@ def fold_time_series(spark, sf):
 # ------------------------------------------------------------ preparation
 
 def _train_test(spark, sf):
-    rows = R.dated(spark, sf)
+    rows = materialise(R.dated(spark, sf))  # learning reads the training rows several times
     return rows.where(F.col("year") <= 1998), rows.where(F.col("year") > 1998)
 
 

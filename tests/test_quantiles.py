@@ -7,7 +7,7 @@ from pitwall.operators import quantiles as Q
 
 @pytest.mark.parametrize("by", [[], ["g"]])
 def test_bracketed_quantiles_are_exact(spark, by, monkeypatch):
-    monkeypatch.setattr(Q, "ACCURACY", 200)  # brackets get to work on a small table
+    monkeypatch.setattr(Q, "MIN_ACCURACY", 200)  # brackets get to work on a small table
     rng = np.random.default_rng(3)
     values = np.concatenate([rng.normal(size=4000), np.repeat(0.25, 600), rng.exponential(50, size=1500)])
     groups = np.where(np.arange(len(values)) % 10 < 7, 1, 2)
