@@ -98,20 +98,21 @@ def grid_search(splits: Sequence[Split], candidate: Candidate, *, score: Callabl
                 refit: str, parallel: int = 4, seed: int = 42, **prep) -> list[dict]:
     """Mean and deviation of every metric on train and validation for each grid point.
 
-    Preparation is fitted once per split; grid points run as parallel Spark jobs.
+    Preparation is fitted once per split; up to ``parallel`` splits are worked on
+    at a time, each as a chain of Spark jobs.
     """
-    scored: dict[int, list[tuple[dict, dict]]] = {i: [] for i in range(len(candidate.grid))}
-    for train, valid in splits:
-        ready = Prepared(train, valid, candidate, seed=seed, **prep)
-
-        def run(i: int, ready=ready):
-            model = ready.model(candidate, candidate.grid[i], seed)
-            return i, score(model.transform(ready.train)), score(model.transform(ready.valid))
-
-        with ThreadPoolExecutor(parallel) as pool:
-            for i, on_train, on_valid in pool.map(run, scored):
-                scored[i].append((on_train, on_valid))
-        ready.release()
+
+    def run(split: Split) -> list[tuple[dict, dict]]:
+        ready = Prepared(*split, candidate, seed=seed, **prep)
+        try:
+            models = (ready.model(candidate, params, seed) for params in candidate.grid)
+            return [(score(m.transform(ready.train)), score(m.transform(ready.valid))) for m in models]
+        finally:
+            ready.release()
+
+    with ThreadPoolExecutor(parallel) as pool:
+        per_split = list(pool.map(run, splits))
+    scored = {i: [results[i] for results in per_split] for i in range(len(candidate.grid))}
     out = []
     for i, pairs in scored.items():
         row = {"model": candidate.name, "params": dict(candidate.grid[i])}

@@ -18,6 +18,7 @@ from pitwall.models import prep
 from pitwall.models.clustering import points_2d
 from pitwall.models.smote import smote
 from pitwall.operators import sampling as G
+from pitwall.operators.quantiles import scalar_of
 from pitwall.plans import features as P
 from pitwall.queries import query
 from pitwall.queries import roles as R
@@ -131,7 +132,7 @@ def model_baseline(spark, sf):
     accuracy = E.macro_metrics(logit.transform(pre.transform(cls.where(F.col("split") == "test"))))
     forest = M.forest_regressor({"n_estimators": 50, "max_depth": 8}, M.Facts(1), 42).fit(pre.transform(reg.where(F.col("split") == "train")))
     position = RG.regression_metrics(forest.transform(pre.transform(reg.where(F.col("split") == "test"))), "label", "prediction")
-    return accuracy.select("accuracy").join(position.select("mae", "rmse", "r2"), how="full", on=F.lit(True))
+    return accuracy.select("accuracy", scalar_of(position.select("mae", "rmse", "r2")).alias("p")).select("accuracy", "p.*")
 
 
 @query("model_store")
@@ -229,7 +230,7 @@ def eval_test_metrics(spark, sf):
     table = materialise(eval_predictions(spark, sf))
     pace = RG.regression_metrics(table, "y_true_pace", "y_pred_pace", "_pace")
     total = RG.regression_metrics(table, "true_ms", "pred_ms", "_ms")
-    return pace.join(total, how="full", on=F.lit(True))
+    return pace.select("*", scalar_of(total).alias("t")).select(*pace.columns, "t.*")
 
 
 @query("eval_feature_importance")
@@ -256,4 +257,4 @@ def eval_roc_of_model(spark, sf):
     """AUC and average precision of a fitted classifier's probabilities."""
     ready, model = _fit_cls(spark, sf, "logreg")
     scored = materialise(model.transform(ready.valid).select("label", vector_to_array("probability")[1].alias("score")))
-    return E.roc_auc(scored, "score", "label").join(E.average_precision(scored, "score", "label"), how="full", on=F.lit(True))
+    return E.roc_auc(scored, "score", "label").withColumn("ap", E.average_precision(scored, "score", "label").scalar())

@@ -31,7 +31,8 @@ def get_session(app: str = "pitwall", master: str | None = None, **conf: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; only a session without any
     (a local test) gets a temporary one, which is then set for the session."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("pitwall.shared.dir", None)
+    folder = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+              or spark.conf.get("pitwall.shared.dir", None))
     if not folder:
         folder = tempfile.mkdtemp(prefix="pitwall-shared-")
         spark.conf.set("pitwall.shared.dir", folder)
