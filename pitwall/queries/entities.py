@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pitwall.operators import aggregates as A
-from pitwall.operators.quantiles import global_stats, grouped_agg
+from pitwall.operators.quantiles import global_stats
 from pitwall.plans import features as P
 from pitwall.queries import query
 from pitwall.queries import roles as R
