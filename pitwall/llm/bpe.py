@@ -13,12 +13,11 @@ from __future__ import annotations
 import base64
 import functools
 from bisect import bisect_right
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitwall.llm.chunks import ChunkTable
@@ -39,7 +38,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class PrefixBpe:
     """Encodes and decodes by the ranks and the split pattern of a vocabulary."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, pieces: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, pieces: int = 100_000):
         import ahocorasick
         import regex
 
@@ -48,6 +47,11 @@ class PrefixBpe:
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.length_of = {i: len(b) for b, i in ranks.items()}
         self.longest = max(map(len, ranks))
+        self._sizes = np.zeros(max(self.bytes_of) + 1, dtype=np.int64)
+        for i, token in self.bytes_of.items():
+            self._sizes[i] = len(token)
+        self._starts = np.cumsum(self._sizes) - self._sizes
+        self._bytes = np.frombuffer(b"".join(b for _, b in sorted(self.bytes_of.items())), dtype=np.uint8)
         self.suffixes = ahocorasick.Automaton()  # finds all tokens that end at a byte; bytes stand as Latin-1
         for token, i in ranks.items():
             self.suffixes.add_word(token.decode("latin-1"), (i, len(token)))
@@ -57,7 +61,7 @@ class PrefixBpe:
         self._pieces: dict[str, tuple[int, ...]] = {}
         self._heads: dict[bytes, list[int]] = {}
         self._size = pieces
-        self._chunks = ChunkTable(self._chunk)
+        self._chunks = ChunkTable(self._chunk, 3 * pieces)
 
     def _halves(self, token: bytes) -> tuple[bytes, bytes] | None:
         """The two tokens whose merge makes ``token``; None if merges never make it."""
@@ -160,8 +164,15 @@ class PrefixBpe:
     def encode(self, text: str) -> np.ndarray:
         return self._chunks.ids(text)
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of the ids' tokens, gathered from one array of all tokens."""
+        ids = np.asarray(ids, dtype=np.int64)
+        sizes = self._sizes[ids]
+        ends = np.cumsum(sizes)
+        if not len(ids):
+            return b""
+        places = np.repeat(self._starts[ids] - ends + sizes, sizes) + np.arange(ends[-1])
+        return self._bytes[places].tobytes()
 
 
 class PrefixTable:
@@ -245,24 +256,36 @@ def load(path: str, pattern: str) -> PrefixBpe:
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """``docs`` with the column ``ids``: token ids of the whole text, without
-    special tokens.  NULL and empty texts have no ids."""
+    """``docs`` with the column ``ids`` (in place of any such column): token ids of
+    the whole text, without special tokens.  NULL and empty texts have no ids."""
+    kept = docs.drop("ids")
+    schema = T.StructType([*kept.schema, T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def ids_of(texts: pd.Series) -> pd.Series:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path, pattern)
-        return pd.Series([bpe.encode(t or "") for t in texts], dtype=object)
+        for batch in batches:
+            found = [bpe.encode(t.as_py() or "") for t in batch.column(text)]
+            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+            flat = np.concatenate(found) if found else np.zeros(0, np.int32)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                                             names=[*batch.schema.names, "ids"])
 
-    return docs.withColumn("ids", ids_of(F.col(text)))
+    return kept.mapInArrow(add, schema)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
-    """``encoded`` with the column ``decoded``: the bytes that the ids stand for;
-    NULL ids give NULL."""
+    """``encoded`` with the column ``decoded`` (in place of any such column): the
+    bytes that the ids stand for; NULL ids give NULL."""
+    kept = encoded.drop("decoded")
+    schema = T.StructType([*kept.schema, T.StructField("decoded", T.BinaryType())])
 
-    @F.pandas_udf(T.BinaryType())
-    def bytes_of(lists: pd.Series) -> pd.Series:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path, pattern)
-        return pd.Series([None if x is None else bpe.decode(x.tolist()) for x in lists], dtype=object)
-
-    return encoded.withColumn("decoded", bytes_of(F.col(ids)))
+        for batch in batches:
+            lists = batch.column(ids)
+            decoded = [None if x is None else bpe.decode(x) for x in (
+                lists[i].values.to_numpy() if lists[i].is_valid else None for i in range(len(lists)))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())],
+                                             names=[*batch.schema.names, "decoded"])
+
+    return kept.mapInArrow(add, schema)

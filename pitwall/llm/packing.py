@@ -9,6 +9,7 @@ than ``group_rows`` items, so no task grows with the data.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -34,16 +35,49 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACES = PIECES + ", bin long, offset long, filled long"
 
 
+#: Fixed value: the pattern of byte-level tokenizer files that split "with regex".
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def _letters_to_bytes() -> dict[str, int]:
+    """How byte-level tokenizer files spell bytes: visible Latin-1 characters stand
+    for themselves, the other bytes in turn for the characters from U+0100 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
 @functools.lru_cache(maxsize=2)
 def load(path: str):
-    """(table of encoded chunks, special strings) of a tokenizer file, one for each Python worker."""
+    """(table of encoded chunks, the tokenizer, its special strings), one for each
+    Python worker.
+
+    The tokenizer library takes several times as long for a short chunk as for
+    the merges in it.  Where the file is plain byte-level BPE whose ids are its
+    merge order, chunks are merged by tiktoken with the file's own vocabulary.
+    """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     encode = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
-    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    return ChunkTable(encode), encode, special
+    special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
+    before, model = described["pre_tokenizer"], described["model"]
+    byte_of = _letters_to_bytes()
+    merges = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model.get("merges", [])]
+    in_order = [model["vocab"][m] for m in merges]
+    if (before == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+            and described["normalizer"] is None and model["type"] == "BPE" and not model.get("ignore_merges")
+            and in_order == sorted(in_order)):
+        import tiktoken
+
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
+        chunks = tiktoken.Encoding("chunks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    else:
+        chunks = encode
+    return ChunkTable(chunks), encode, special
 
 
 def token_ids(text: str | None, path: str, end_id: int = END_ID) -> np.ndarray:
