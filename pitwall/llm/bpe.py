@@ -38,7 +38,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class PrefixBpe:
     """Encodes and decodes by the ranks and the split pattern of a vocabulary."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, pieces: int = 100_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, pieces: int = 200_000):
         import ahocorasick
         import regex
 
@@ -59,6 +59,7 @@ class PrefixBpe:
         self._edges: dict[bytes, tuple | None] = {}
         self._pairs: dict[int, bool] = {}
         self._pieces: dict[str, tuple[int, ...]] = {}
+        self._old: dict[str, tuple[int, ...]] = {}
         self._heads: dict[bytes, list[int]] = {}
         self._size = pieces
         self._chunks = ChunkTable(self._chunk, 3 * pieces)
@@ -114,7 +115,7 @@ class PrefixBpe:
                 pair = last[end - length] << 32 | token
                 fits = pairs.get(pair)
                 if fits is None:
-                    if len(pairs) >= 4 * self._size:
+                    if len(pairs) >= 2 * self._size:
                         pairs.clear()
                     fits = pairs[pair] = self.may_follow(last[end - length], token)
             else:
@@ -136,6 +137,10 @@ class PrefixBpe:
     def piece(self, text: str) -> tuple[int, ...]:
         """Ids of one match of the split pattern."""
         known = self._pieces.get(text)
+        if known is None:
+            known = self._old.get(text)
+            if known is not None:
+                self._pieces[text] = known
         if known is None:
             data = text.encode("utf-8", "replace")
             whole = self.ranks.get(data)
@@ -143,7 +148,7 @@ class PrefixBpe:
                 head = self._heads.get(data[:HEAD])
                 if head is None:
                     self.extend(data[:HEAD], head := [])
-                    if len(self._heads) >= self._size:
+                    if 2 * len(self._heads) >= self._size:
                         self._heads.clear()
                     self._heads[data[:HEAD]] = head
                 last = head.copy()
@@ -151,8 +156,8 @@ class PrefixBpe:
                 known = tuple(self.walk_back(last))
             else:
                 known = (whole,)
-            if len(self._pieces) >= self._size:
-                self._pieces.clear()
+            if 2 * len(self._pieces) >= self._size:
+                self._old, self._pieces = self._pieces, {}
             if len(text) <= 256:
                 self._pieces[text] = known
         return known

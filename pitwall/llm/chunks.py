@@ -18,12 +18,14 @@ _RUN = re.compile(r"\s \s|\s \Z|\A \s| \Z")
 
 
 class ChunkTable:
-    """``encode(chunk) -> ids`` remembered for up to ``size`` chunks; a full table
-    starts anew, which changes the speed only."""
+    """``encode(chunk) -> ids`` remembered for up to ``size`` chunks.  A half-full
+    table becomes the old one, from which chunks still in use are taken over; that
+    changes the speed only."""
 
     def __init__(self, encode: Callable[[str], Iterable[int]], size: int = 500_000):
         self._encode, self._size = encode, size
         self._known: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     def _packed(self, chunk: str) -> bytes:
         return array("i", self._encode(chunk)).tobytes()
@@ -34,14 +36,14 @@ class ChunkTable:
             return np.frombuffer(self._packed(text), dtype=np.int32)
         first, *rest = text.split(" ")
         known = self._known
-        if len(known) >= self._size:
-            known.clear()
+        if 2 * len(known) >= self._size:
+            self._old, self._known = known, (known := {})
         found = list(map(known.get, rest))
         if None in found:
             for i, ids in enumerate(found):
                 if ids is None:
                     part = rest[i]
-                    found[i] = known.get(part) or self._packed(" " + part)
+                    found[i] = known.get(part) or self._old.get(part) or self._packed(" " + part)
                     if len(part) <= 256:
                         known[part] = found[i]
         return np.frombuffer(b"".join([self._packed(first), *found]), dtype=np.int32)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm import bpe, packing, simhash
+from pitwall.llm import bpe, hypervectors, importance, packing, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +28,18 @@ def op1_simhash_deletion_variants(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@_query
+def op3_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *[f"q.{c}" for c in counts], "base_failed", "kept", "distance")
+
+
+@_query
+def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.importance_sample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @_query
 def op7_bpe_prefix_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -39,6 +51,11 @@ def op7_bpe_prefix_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@_query
+def op8_hyperdimensional_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hypervectors.identify(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op9_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
