@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm import bpe, hypervectors, importance, packing, quality_rules, simhash
+from pitwall.llm import bpe, hypervectors, importance, packing, quality_rules, simhash, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
+#: The rules that the url query judges by.
+RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+         ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
 
 def _query(fn):
     QUERIES[fn.__name__] = fn
@@ -28,6 +32,11 @@ def op1_simhash_deletion_variants(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@_query
+def op2_segmented_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), RULES)
+
+
 @_query
 def op3_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
