@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm import bpe, hypervectors, importance, packing, quality_rules, simhash, url_filter
+from pitwall.llm import bpe, hypervectors, importance, kmeans_tree, packing, quality_rules, simhash, surrogates, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -44,6 +44,11 @@ def op3_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"q.{c}" for c in counts], "base_failed", "kept", "distance")
 
 
+@_query
+def op5_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @_query
 def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.importance_sample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -70,3 +75,13 @@ def op9_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+#: The key of the registered queries; a deployment passes its own secret.
+SURROGATE_KEY = b"pitwall surrogates"
+
+
+@_query
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = surrogates.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
+    return found.select("doc_id", "text", "n_surrogates")
