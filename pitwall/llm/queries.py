@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm import bpe, hypervectors, importance, kmeans_tree, packing, quality_rules, simhash, surrogates, url_filter
+from pitwall.llm import bpe, hypervectors, importance, kmeans_tree, packing, quality_rules, simhash, surrogates, templates, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -44,6 +44,12 @@ def op3_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"q.{c}" for c in counts], "base_failed", "kept", "distance")
 
 
+@_query
+def op4_template_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = templates.extract(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @_query
 def op5_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmeans_tree.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
