@@ -38,7 +38,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class PrefixBpe:
     """Encodes and decodes by the ranks and the split pattern of a vocabulary."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, pieces: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, pieces: int = 150_000):
         import ahocorasick
         import regex
 

@@ -22,7 +22,7 @@ class ChunkTable:
     table becomes the old one, from which chunks still in use are taken over; that
     changes the speed only."""
 
-    def __init__(self, encode: Callable[[str], Iterable[int]], size: int = 500_000):
+    def __init__(self, encode: Callable[[str], Iterable[int]], size: int = 240_000):
         self._encode, self._size = encode, size
         self._known: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}

@@ -37,7 +37,7 @@ _TOKENS = re.compile(r"\w+|[^\w\s]+")
 class Hasher:
     """Buckets of the unigrams and bigrams of lower-cased words and signs."""
 
-    def __init__(self, buckets: int = BUCKETS, size: int = 300_000):
+    def __init__(self, buckets: int = BUCKETS, size: int = 120_000):
         self.shift, self.size, self.known = np.uint64(64 - (buckets.bit_length() - 1)), size, {}
 
     def buckets(self, text: str | None) -> np.ndarray:
@@ -93,23 +93,17 @@ def log_ratios(found: np.ndarray, smoothing: float = SMOOTHING) -> np.ndarray:
 
 
 def _weights(ratios: np.ndarray, length: int):
-    def score(texts: pd.Series) -> pd.Series:
-        hasher = _hasher(len(ratios))
-        out = []
-        for text in texts:
-            found = hasher.buckets(text)
-            out.append(float(ratios[found].sum()) * length / (len(found) + length))
-        return pd.Series(out, dtype="float64")
-
-    score.__annotations__ = {"texts": pd.Series, "return": pd.Series}
-    return F.pandas_udf(score, T.DoubleType())
-
-
-_HASHERS: dict[int, Hasher] = {}
-
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hasher = Hasher(len(ratios))  # goes with the task, so idle workers hold nothing
+        for texts in batches:
+            out = []
+            for text in texts:
+                found = hasher.buckets(text)
+                out.append(float(ratios[found].sum()) * length / (len(found) + length))
+            yield pd.Series(out, dtype="float64")
 
-def _hasher(buckets: int) -> Hasher:
-    return _HASHERS.setdefault(buckets, Hasher(buckets))
+    score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(score, T.DoubleType())
 
 
 def gumbel(seed: int = SEED) -> "Column":  # noqa: F821
