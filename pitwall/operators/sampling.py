@@ -29,11 +29,12 @@ def split_random(df: DataFrame, ids: Sequence[str], test_size: float = 0.2, seed
 
 def split_stratified(df: DataFrame, ids: Sequence[str], label: str, test_size: float = 0.2,
                      seed: int = 42, name: str = "split") -> DataFrame:
-    """Hold-out with the class shares of the whole: round(test_size * n) rows per class."""
+    """Hold-out with the class shares of the whole: round(test_size * n) rows per class.
+    Rows without a label are a class of their own."""
     sizes = df.groupBy(label).agg(F.round(F.count(F.lit(1)) * F.lit(test_size)).alias("__n_test"))
     ranked = hash_rank(df, ids, keys=[label], name="__rank", seed=seed)
-    # one row per class
-    return (ranked.join(F.broadcast(sizes), label)
+    sizes = sizes.withColumnRenamed(label, "__label")
+    return (ranked.join(sizes, F.col(label).eqNullSafe(F.col("__label"))).drop("__label")
             .withColumn(name, F.when(F.col("__rank") < F.col("__n_test"), F.lit("test"))
                         .otherwise(F.lit("train"))).drop("__rank", "__n_test"))
 
@@ -51,8 +52,8 @@ def split_time(df: DataFrame, ids: Sequence[str], cutoff: int, *, column: str =
 
 
 def sample_rows(df: DataFrame, ids: Sequence[str], n: int, seed: int = 42) -> DataFrame:
-    """min(n, rows) rows by hash order (a top-n, no full sort)."""
-    return df.orderBy(hash_order(*ids, seed=seed), *ids).limit(n)
+    """min(n, rows) rows by hash order; no task holds more than a slice of them."""
+    return hash_rank(df, ids, name="__rank", seed=seed).where(F.col("__rank") < n).drop("__rank")
 
 
 def races_of(df: DataFrame) -> DataFrame:
@@ -142,13 +143,15 @@ def fold_random(df: DataFrame, ids: Sequence[str], k: int = 5, seed: int = 42,
 
 
 def fold_group(df: DataFrame, group: str, k: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:
-    """Whole groups per fold: groups are dealt out in turn from the largest down."""
+    """Whole groups per fold: groups are dealt out in turn from the largest down.
+    Rows without a group are one group."""
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("__rows")).withColumn(
         "__hash", hash_order(group, seed=seed))
     dealt = prefix_scan(
         sizes, order=["__hash", group],
         slices=[-F.col("__rows"), F.substring("__hash", 1, HASH_DIGITS // 2)], count="__rank")
-    return df.join(dealt.select(group, (F.col("__rank") % k).alias(name)), group)
+    dealt = dealt.select(F.col(group).alias("__group"), (F.col("__rank") % k).alias(name))
+    return df.join(dealt, F.col(group).eqNullSafe(F.col("__group"))).drop("__group")
 
 
 def fold_time_series(df: DataFrame, k: int = 5) -> DataFrame:

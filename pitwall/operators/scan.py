@@ -45,6 +45,7 @@ def prefix_scan(
     """Add exclusive running values: rows before this one, and sums over them.
 
     ``slices`` must not decrease along ``order`` (increase, when descending).
+    NULL keys and slices are values like any other, before all others.
     ``count`` names the running row count, ``sums`` maps names to summed columns.
     """
     sums = dict(sums or {})
@@ -72,11 +73,13 @@ def prefix_scan(
         "__scan_pos": F.row_number().over(inside).cast("bigint") - 1,
         **{f"__scan_in_{a}": F.coalesce(F.sum(F.col(c) if isinstance(c, str) else c).over(earlier), F.lit(0))
            for a, c in sums.items()}})
-    joined = local.join(offsets, [*keys, *slice_names], "left")
+    names = [*keys, *slice_names]
+    offsets = offsets.withColumnsRenamed({n: f"__scan_of_{n}" for n in names})
+    joined = local.join(offsets, [F.col(n).eqNullSafe(F.col(f"__scan_of_{n}")) for n in names], "left") if names else local.crossJoin(offsets)
     out = {a: F.col(f"__scan_off_{a}") + F.col(f"__scan_in_{a}") for a in sums}
     if count:
         out[count] = F.col("__scan_off_rows") + F.col("__scan_pos")
-    temp = [*slice_names, "__scan_pos", "__scan_off_rows",
+    temp = [*slice_names, *[f"__scan_of_{n}" for n in names], "__scan_pos", "__scan_off_rows",
             *[f"__scan_in_{a}" for a in sums], *[f"__scan_off_{a}" for a in sums]]
     return joined.withColumns(out).drop(*temp)
 
@@ -98,17 +101,19 @@ def value_slices(df: DataFrame, column: str, *, name: str,
     """Add a slice number that grows with ``column`` and holds about equal row counts.
 
     The edges are approximate quantiles; a table that fits one slice needs none.
+    NaN goes with the largest values and NULL before the smallest, as Spark orders them.
     """
     n_rows = df.count()
     n_slices = math.ceil(n_rows / rows_per_slice)
     if n_slices <= 1:
         return df.withColumn(name, F.lit(0.0))
     probabilities = [i / n_slices for i in range(1, n_slices)]
-    edges = sorted(set(df.approxQuantile(column, probabilities, 1 / (4 * n_slices))))
+    edges = sorted({x for x in df.approxQuantile(column, probabilities, 1 / (4 * n_slices)) if math.isfinite(x)})
     splits = [float("-inf"), *edges, float("inf")]
     if len(splits) < 3:
         return df.withColumn(name, F.lit(0.0))
-    return Bucketizer(splits=splits, inputCol=column, outputCol=name).transform(df)
+    cut = Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep").transform(df)
+    return cut.withColumn(name, F.when(F.col(column).isNull(), F.lit(-1.0)).otherwise(F.col(name)))
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str] = (), limit: int = ROWS_PER_TASK) -> dict[str, int]:

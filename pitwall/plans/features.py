@@ -230,7 +230,7 @@ def calendar_context(df: DataFrame) -> DataFrame:
     """Season progress (against the last round of the table) and regulation era."""
     last = df.groupBy("year").agg(F.max("round").alias("__last"))
     progress = S.ratio("round", "__last", 0.0)
-    return (df.join(F.broadcast(last), "year", "left")  # one row per year
+    return (df.join(last, "year", "left")
             .withColumns({"season_progress": S.clip(progress, 0.0, 1.0), "era_bin": S.interval_bin("year")})
             .drop("__last"))
 

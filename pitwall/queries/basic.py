@@ -51,9 +51,8 @@ def src_nonempty(spark, sf):
 def sink_csv(spark, sf):
     path = _new_path(spark, "documents-csv")
     docs = R.table(spark, sf, "documents")
-    # quotes and line breaks are part of the texts: every field quoted, read as multi-line
-    docs.write.csv(path, header=True, quoteAll=True, escape='"', encoding="UTF-8")
-    return spark.read.csv(path, header=True, schema=docs.schema, multiLine=True, escape='"', encoding="UTF-8")
+    IO.write_csv(docs, path)
+    return IO.read_own_csv(spark, path, docs.schema)
 
 
 @query("sink_json_summary", """SELECT year(o_orderdate) AS split_year, count(*) AS split_n,

@@ -14,14 +14,14 @@ from pitwall.queries import query
 from pitwall.queries import roles as R
 
 # Scores: quality labels against the length of the text on 0..1 (with ties).
-_SC = """WITH s AS (SELECT doc_id, quality AS label, least(n_chars, 4000) / 4000.0::DOUBLE AS score,
-  CASE WHEN least(n_chars, 4000) / 4000.0::DOUBLE >= 0.3 THEN 1 ELSE 0 END AS prediction FROM labels JOIN documents USING (doc_id))
+_SC = """WITH s AS (SELECT doc_id, quality AS label, n_chars / 4000.0::DOUBLE AS score,
+  CASE WHEN n_chars / 4000.0::DOUBLE >= 0.3 THEN 1 ELSE 0 END AS prediction FROM labels JOIN documents USING (doc_id))
 """
 
 
 def _scored(spark, sf):
     docs = R.table(spark, sf, "documents").select("doc_id", "n_chars")
-    score = F.least(F.col("n_chars"), F.lit(4000)) / F.lit(4000.0)
+    score = F.col("n_chars") / F.lit(4000.0)
     return R.table(spark, sf, "labels").join(docs, "doc_id").select(
         "doc_id", F.col("quality").alias("label"), score.alias("score"),
         F.when(score >= 0.3, 1).otherwise(0).alias("prediction"))

@@ -39,7 +39,10 @@ def _kept(spark, sf, name: str, build) -> DataFrame:
 
 
 def _with_id(df: DataFrame) -> DataFrame:
-    return df.withColumn("id", F.col("raceId") * 1_000_000 + F.col("driverId"))
+    # one number for both: races up to 2^32, drivers up to 2^31; beyond that the job fails instead of mixing rows
+    fits = (F.col("driverId") >= 0) & (F.col("driverId") < 1 << 31) & (F.abs("raceId") < 1 << 32)
+    number = F.shiftleft(F.col("raceId").cast("bigint"), 31) + F.col("driverId")
+    return df.withColumn("id", F.when(fits, number).otherwise(F.raise_error(F.lit("raceId or driverId beyond the range of row ids")).cast("bigint")))
 
 
 def cls_table(spark, sf) -> DataFrame:
@@ -85,7 +88,9 @@ def _cls_query(key: str, name: str):
     @query(key)
     def run(spark, sf):
         ready, model = _fit_cls(spark, sf, name)
-        return E.macro_metrics(model.transform(ready.valid)).withColumn("model", F.lit(name))
+        facts = materialise(E.macro_metrics(model.transform(ready.valid)).withColumn("model", F.lit(name)))
+        ready.release()
+        return facts
 
     return run
 
@@ -107,7 +112,9 @@ def _reg_query(key: str, name: str):
     @query(key)
     def run(spark, sf):
         ready, model, *_ = _fit_reg(spark, sf, name)
-        return RG.regression_metrics(model.transform(ready.valid), "label", "prediction").withColumn("model", F.lit(name))
+        facts = materialise(RG.regression_metrics(model.transform(ready.valid), "label", "prediction").withColumn("model", F.lit(name)))
+        ready.release()
+        return facts
 
     return run
 
@@ -236,7 +243,9 @@ def eval_test_metrics(spark, sf):
 @query("eval_feature_importance")
 def eval_feature_importance(spark, sf):
     ready, model, *_ = _fit_reg(spark, sf, "rf")
-    return T.feature_importance(model, ready.train, 30)
+    found = materialise(T.feature_importance(model, ready.train, 30))
+    ready.release()
+    return found
 
 
 @query("eval_permutation")
@@ -249,7 +258,7 @@ def eval_permutation(spark, sf):
     features = [*numbers, *prep.CLS_CATEGORIES]
     ids = ["row"]
     rows = materialise(test.withColumn("row", F.col("id")))
-    return T.permutation_importance(whole.transform, rows, features, ids=ids, repeats=3)
+    return T.permutation_importance(whole.transform, rows, features, ids=ids, repeats=10)
 
 
 @query("eval_roc_of_model")
@@ -257,4 +266,5 @@ def eval_roc_of_model(spark, sf):
     """AUC and average precision of a fitted classifier's probabilities."""
     ready, model = _fit_cls(spark, sf, "logreg")
     scored = materialise(model.transform(ready.valid).select("label", vector_to_array("probability")[1].alias("score")))
+    ready.release()
     return E.roc_auc(scored, "score", "label").withColumn("ap", E.average_precision(scored, "score", "label").scalar())

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,16 +29,35 @@ def get_session(app: str = "pitwall", master: str | None = None, **conf: str) ->
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local["):
+        ship_code(spark)
+    return spark
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, so that they need no copy of their own."""
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="pitwall-code-")  # read by the driver only, which serves it
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/{root.name}.zip", "w") as packed:
+        for file in sorted(root.rglob("*.py")):
+            packed.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(f"{folder}/{root.name}.zip")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only a session without any
-    (a local test) gets a temporary one, which is then set for the session."""
+    """The folder named by ``spark.checkpoint.dir``.  A local session without any
+    gets a temporary one, which goes with the process; elsewhere that is an error,
+    as executors would not see each other's files."""
     folder = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
               or spark.conf.get("pitwall.shared.dir", None))
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="pitwall-shared-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("pitwall.shared.dir", folder)
     return folder
 

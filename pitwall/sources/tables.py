@@ -31,30 +31,34 @@ def _schema(schema: str | T.StructType) -> T.StructType:
 
 def _typed(text: DataFrame, schema: T.StructType) -> DataFrame:
     """Text columns to their types; missing spellings and bad cells become NULL."""
-    out = []
-    for f in text.columns:
-        kind = schema[f].dataType
-        cell = missing_to_null(f)
-        if isinstance(kind, T.IntegralType):  # '3.0' is a whole number, too
-            cell = cell.try_cast("double").try_cast(kind)
-        elif not isinstance(kind, T.StringType):
-            cell = cell.try_cast(kind)
-        out.append(cell.alias(f))
-    return text.select(*out)
+    return text.select(*[_cell(schema[f]).alias(f) for f in text.columns])
+
+
+def _cell(field: T.StructField):
+    cell = missing_to_null(field.name)
+    if isinstance(field.dataType, T.IntegralType):  # '3.0' is a whole number, too
+        whole = cell.try_cast(field.dataType)
+        return F.coalesce(whole, cell.try_cast("double").try_cast(field.dataType))
+    return cell if isinstance(field.dataType, T.StringType) else cell.try_cast(field.dataType)
 
 
 def read_raw(spark: SparkSession, path: str, schema: str | T.StructType,
-             encoding: str = "ISO-8859-1") -> DataFrame:
+             encoding: str = "ISO-8859-1", *, quoted: bool = False, typed: bool = True) -> DataFrame:
     """CSV with a header, columns found by name.
 
     Cells are read as text first, so one bad cell costs a NULL, not a row.
+    ``quoted`` reads cells with line breaks and keeps the blanks around text; files
+    that need it cannot be split, so it is for files written in parts.
     """
     schema = _schema(schema)
-    header = spark.read.csv(path, header=True, encoding=encoding, enforceSchema=False)
+    how = {"header": True, "encoding": encoding, "escape": '"', "multiLine": quoted,
+           "ignoreLeadingWhiteSpace": not quoted, "ignoreTrailingWhiteSpace": not quoted}
+    header = spark.read.csv(path, enforceSchema=False, **how)
     text = spark.read.csv(
-        path, header=True, encoding=encoding, nullValue="\\N", escape='"',
+        path, nullValue="\\N", **how,
         schema=T.StructType([T.StructField(c, T.StringType()) for c in header.columns]))
-    return _typed(text.select(*[f.name for f in schema]), schema)
+    text = text.select(*[f.name for f in schema])
+    return _typed(text, schema) if typed else text
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,15 +66,20 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def read_own_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """One of our own CSV outputs: UTF-8, a byte order mark is tolerated."""
-    return read_raw(spark, path, schema, encoding="UTF-8")
+    """One of our own CSV outputs: UTF-8, a byte order mark is tolerated.  Text comes
+    back as it was written, line breaks, blanks and empty text included."""
+    schema = _schema(schema)
+    raw = read_raw(spark, path, T.StructType([T.StructField(f.name, T.StringType()) for f in schema]), "UTF-8", quoted=True, typed=False)
+    return raw.select(*[(F.col(f.name) if isinstance(f.dataType, T.StringType) else _cell(f)).alias(f.name) for f in schema])
 
 
 def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8", bom: bool = False) -> None:
     """CSV with a header.  ``bom`` marks the file as UTF-8 for spreadsheet
-    programs by a mark before the first header name."""
+    programs by a mark before the first header name, where no quote may stand; then
+    only cells that need it are quoted."""
     out = df.withColumnRenamed(df.columns[0], "﻿" + df.columns[0]) if bom else df
-    out.write.mode("overwrite").csv(path, header=True, encoding=encoding, nullValue="", escape='"')
+    out.write.mode("overwrite").csv(path, header=True, encoding=encoding, nullValue="\\N", emptyValue='""' if bom else "", quoteAll=not bom,
+                                    escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

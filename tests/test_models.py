@@ -156,7 +156,7 @@ def test_cluster_report(spark, cloud):
     rows = df.select(F.col("id").alias("raceId"), *[F.col("x")[i].alias(f"f{i}") for i in range(3)], (F.col("id") % 7).alias("year"))
     out = C.cluster_report(rows, k_final=3, k_min=2, k_max=4, n_init=2)
     facts = out["metrics"].first()
-    assert facts["n_features"] == 3 and facts["n_samples"] == 120 and facts["silhouette"] > 0.4
+    assert facts["n_features"] == 3 and facts["n_samples"] == 120 and facts["silhouette_squared"] > 0.4
     assert out["labels"].count() == 120 and out["profile"].count() == 3 and out["points"].columns[-2:] == ["pc1", "pc2"]
     assert C.best_k(out["search"]).first()["k"] in (2, 3)
     assert out["model"].transform(rows).select("cluster").distinct().count() == 3
