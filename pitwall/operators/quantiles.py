@@ -4,7 +4,9 @@ Spark's exact ``percentile`` keeps a value -> count table per group.  For groups
 too large for that, the values are first clamped to a bracket around the wanted
 quantile that ``percentile_approx`` guarantees to contain it.  Clamping is
 monotone, so the quantile of the clamped values is the exact one, while the
-table only holds the values inside the bracket.
+table only holds the values inside the bracket.  A bracket that still holds too
+many rows is narrowed by counted passes over its rows; the sketch has the same
+size in each of them.
 """
 
 from __future__ import annotations
@@ -18,10 +20,11 @@ from pitwall.operators.scan import group_sizes
 
 # Groups up to this size keep a plain value table.
 PLAIN_ROWS = 1_000_000
-# Accuracy of the bracket: at least this, and fine enough that at most about
-# BRACKET_ROWS values of the largest group fall inside.
+# Accuracy of every sketch, and the rows of the largest group that a bracket may hold.
 MIN_ACCURACY = 10_000
 BRACKET_ROWS = 1_000_000
+# Steps that a narrowing pass divides a bracket into.
+GRID = 200
 
 
 def grouped_agg(
@@ -31,6 +34,8 @@ def grouped_agg(
     quantiles: Mapping[str, tuple[str, float]],
     max_rows: int = PLAIN_ROWS,
     sizes: Mapping[str, int] | None = None,
+    accuracy: int | None = None,
+    bracket_rows: int | None = None,
 ) -> DataFrame:
     """``df.groupBy(by).agg(*aggregates)`` plus exact quantiles.
 
@@ -42,7 +47,9 @@ def grouped_agg(
         sizes = sizes if sizes is not None else group_sizes(df, by[:1], max_rows)
         largest = sizes.get(by[0], sizes[""]) if by else sizes[""]
         if largest > max_rows:
-            return _bracketed(df, by, aggregates, quantiles, max(MIN_ACCURACY, 6 * largest // BRACKET_ROWS))
+            accuracy = accuracy or MIN_ACCURACY
+            passes = narrowing_passes(largest, accuracy, bracket_rows or BRACKET_ROWS)
+            return _bracketed(df, by, aggregates, quantiles, accuracy, passes)
     shared, picks = _shared_quantiles({a: (F.col(c), c, p) for a, (c, p) in quantiles.items()})
     out = df.groupBy(*by).agg(*aggregates, *shared)
     temp = [f"__q_{c}" for c in dict.fromkeys(c for c, _ in quantiles.values())]
@@ -62,7 +69,25 @@ def _shared_quantiles(quantiles: Mapping[str, tuple[Column, str, float]]):
     return shared, picks
 
 
-def _bracketed(df, by, aggregates, quantiles, accuracy: int) -> DataFrame:
+def narrowing_passes(rows: int, accuracy: int, bracket_rows: int) -> int:
+    """Passes after which a bracket of a group of ``rows`` distinct values holds at
+    most ``bracket_rows``; values that repeat only make its table smaller."""
+    passes, inside = 0, rows * 6 / accuracy
+    shrink = min(0.5, 2 / GRID + 6 / accuracy)
+    while inside > bracket_rows:
+        passes, inside = passes + 1, inside * shrink
+    return passes
+
+
+def _with_edges(df: DataFrame, by: list[str], edges: DataFrame) -> DataFrame:
+    if by:
+        edges = edges.withColumnsRenamed({b: f"__by_{b}" for b in by})
+        same = [F.col(b).eqNullSafe(F.col(f"__by_{b}")) for b in by]
+        return df.join(edges, same, "left").drop(*[f"__by_{b}" for b in by])
+    return df.withColumn("__edge", scalar_of(edges)).select("*", "__edge.*").drop("__edge")
+
+
+def _bracketed(df, by, aggregates, quantiles, accuracy: int, passes: int) -> DataFrame:
     slack = 3 / accuracy
     wanted: dict[str, list[float]] = {}
     for c, p in quantiles.values():
@@ -71,18 +96,43 @@ def _bracketed(df, by, aggregates, quantiles, accuracy: int) -> DataFrame:
     # ranks: no clamping there.
     brackets = [F.when(F.count(c) > accuracy, F.percentile_approx(c, ps, accuracy)).alias(f"__b_{c}")
                 for c, ps in wanted.items()]
-    edges = df.groupBy(*by).agg(*brackets) if by else df.agg(*brackets)
-    if by:
-        held = df.join(edges, by, "left")
-    else:
-        held = df.withColumn("__edge", scalar_of(edges)).select("*", "__edge.*").drop("__edge")
-    exact, used = [], {c: 0 for c in wanted}
-    for a, (c, p) in quantiles.items():
-        x, edge, i = F.col(c), F.col(f"__b_{c}"), used[c]
+    sketched, used, pick = df.groupBy(*by).agg(*brackets), {c: 0 for c in wanted}, []
+    for a, (c, _) in quantiles.items():
+        i = used[c]
         used[c] += 2
-        clamped = F.when(edge.isNull() | x.isNull(), x).otherwise(F.greatest(F.least(x, edge[i + 1]), edge[i]))
+        pick += [F.col(f"__b_{c}")[i].alias(f"__lo_{a}"), F.col(f"__b_{c}")[i + 1].alias(f"__hi_{a}")]
+    edges = sketched.select(*by, *pick)
+    for _ in range(passes):
+        edges = _narrowed(_with_edges(df, by, edges), by, quantiles, accuracy)
+    exact = []
+    for a, (c, p) in quantiles.items():
+        x, lo, hi = F.col(c), F.col(f"__lo_{a}"), F.col(f"__hi_{a}")
+        clamped = F.when(lo.isNull() | x.isNull(), x).otherwise(F.greatest(F.least(x, hi), lo))
         exact.append(F.percentile(clamped, F.lit(p)).alias(a))
-    return held.groupBy(*by).agg(*aggregates, *exact)
+    return _with_edges(df, by, edges).groupBy(*by).agg(*aggregates, *exact)
+
+
+def _narrowed(held: DataFrame, by: list[str], quantiles, accuracy: int) -> DataFrame:
+    """Brackets inside the present ones: the rows below a bracket are counted, so
+    the ranks that the quantile needs are known inside it, and a sketch of the
+    inside gives the steps around them."""
+    facts, pick = [], []
+    steps = [i / GRID for i in range(GRID + 1)]
+    for a, (c, p) in quantiles.items():
+        x, lo, hi = F.col(c), F.col(f"__lo_{a}"), F.col(f"__hi_{a}")
+        inside = F.when((x >= lo) & (x <= hi), x)
+        facts += [F.max(lo).alias(f"__lo_{a}"), F.max(hi).alias(f"__hi_{a}"), F.count(x).alias(f"__n_{a}"),
+                  F.count_if(x < lo).alias(f"__k_{a}"), F.count(inside).alias(f"__m_{a}"),
+                  F.percentile_approx(inside, steps, accuracy).alias(f"__g_{a}")]
+        at = F.lit(p) * (F.col(f"__n_{a}") - 1)
+        below, size, grid = F.col(f"__k_{a}"), F.col(f"__m_{a}"), F.col(f"__g_{a}")
+        first = F.floor(((F.floor(at) - below) / size - 3 / accuracy) * GRID).cast("int")
+        last = F.ceil(((F.ceil(at) + 1 - below) / size + 3 / accuracy) * GRID).cast("int")
+        enough = size > accuracy  # else the slack is less than three ranks
+        # ``get`` is NULL outside the grid: there the old edge stays
+        pick += [F.coalesce(F.when(enough & (first > 0), F.get(grid, first)), F.col(f"__lo_{a}")).alias(f"__lo_{a}"),
+                 F.coalesce(F.when(enough & (last < GRID), F.get(grid, last)), F.col(f"__hi_{a}")).alias(f"__hi_{a}")]
+    return held.groupBy(*by).agg(*facts).select(*by, *pick)
 
 
 def global_stats(df: DataFrame, means: Mapping[str, str] | None = None,

@@ -28,4 +28,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     from pitwall.queries import (  # noqa: F401
-        basic, clusters, curves, entities, fitted, histories, samples)
+        basic, clusters, curves, entities, fitted, histories, samples, sliced)

@@ -26,3 +26,26 @@ def test_small_groups_need_no_bracket(spark):
     df = spark.createDataFrame([(1, 1.0), (1, 2.0), (2, 5.0), (3, None)], "g int, v double")
     out = {r["g"]: r["m"] for r in Q.grouped_agg(df, ["g"], [], {"m": ("v", 0.5)}, max_rows=1).collect()}
     assert out == {1: 1.5, 2: 5.0, 3: None}
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_narrowed_brackets_are_exact(spark, by):
+    rng = np.random.default_rng(4)
+    values = np.concatenate([rng.normal(size=6000), np.repeat(0.25, 900), rng.exponential(50, size=2100)])
+    groups = np.where(np.arange(len(values)) % 10 < 7, 1, 2)
+    df = spark.createDataFrame([(None if g == 2 else 1, None if i % 50 == 0 else float(v))
+                                for i, (g, v) in enumerate(zip(groups, values))], "g int, v double").repartition(5)
+    wanted = {"least": 0.0, "q1": 0.25, "med": 0.5, "q9": 0.9, "most": 1.0}
+    assert Q.narrowing_passes(len(values), 100, 20) >= 2
+    out = Q.grouped_agg(df, by, [F.count("v").alias("n")], {a: ("v", p) for a, p in wanted.items()},
+                        max_rows=10, accuracy=100, bracket_rows=20)
+    keep, rows = np.arange(len(values)) % 50 != 0, out.collect()
+    assert len(rows) == (2 if by else 1)
+    for r in rows:
+        x = values[keep & (groups == (r["g"] or 2))] if by else values[keep]
+        assert r["n"] == len(x)
+        assert np.allclose([r[a] for a in wanted], np.quantile(x, list(wanted.values())), rtol=0, atol=1e-12)
+
+
+def test_passes_grow_with_the_logarithm_of_the_rows():
+    assert [Q.narrowing_passes(n, Q.MIN_ACCURACY, Q.BRACKET_ROWS) for n in (10**6, 10**9, 10**11, 10**13)] == [0, 0, 1, 2]
