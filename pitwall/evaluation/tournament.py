@@ -54,8 +54,7 @@ def score_numbers(predicted: DataFrame) -> dict[str, float]:
 
 def _spread(df: DataFrame) -> DataFrame:
     """Training passes over its rows many times: give every core a part of them."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition("id")
 
 
 class Prepared:
@@ -185,12 +184,9 @@ def feature_importance(model, prepared: DataFrame, top_k: int = 30, residual: bo
         values, method = [float(v) for v in model.featureImportances.toArray()], "feature_importances_"
     else:
         values, method = [], "none"
-    try:
-        names = feature_names(prepared)
-    except KeyError:
-        names = []
+    names = feature_names(prepared) if values else []
     if len(names) != len(values):
-        names = [f"f_{i}" for i in range(len(values))]
+        raise ValueError(f"{len(values)} importances for {len(names)} feature slots: not the model's own rows")
     top = sorted(zip(names, values), key=lambda p: (-p[1], p[0]))[:top_k]
     return prepared.sparkSession.createDataFrame(
         [(n, v, method, residual) for n, v in top],

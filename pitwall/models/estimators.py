@@ -47,7 +47,7 @@ def points(**lists) -> list[dict]:
 
 def logistic(p: Params, f: Facts, seed: int) -> Estimator:
     """C-form penalty: regParam = 1 / (C n), intercept free, columns as they are."""
-    return LogisticRegression(maxIter=int(p.get("max_iter", 200)), regParam=1.0 / (float(p["C"]) * f.n),
+    return LogisticRegression(maxIter=int(p.get("max_iter", 5000)), regParam=1.0 / (float(p["C"]) * f.n),
                               elasticNetParam=0.0, standardization=False)
 
 

@@ -33,14 +33,21 @@ REG_NUMBERS = [
     "grid", "year", "round", "laps", "circuit_baseline_pace", "n_drivers_race", "grid_pct_in_race",
     "season_progress", "era_bin", "driver_circuit_prev_count", "driver_circuit_log",
     "season_prev_mean_pace", "season_prev_mean_resid",
-    *[f"quali_{c}" for c in ("position", "best_ms", "gap_to_pole_ms", "has_q2", "has_q3", "gap_pct")],
+    "quali_position", "quali_best_ms", "quali_gap_to_pole_ms", "quali_has_q2", "quali_has_q3", "quali_gap_pct",
     "grid_minus_quali", "quali_zscore_in_race", "quali_rank_pct_in_race",
-    *[f"{p}_{c}_prev" for p in ("drv", "cons") for c in ("points", "pos", "wins")],
-    *[f"{p}_{c}_per_round_prev" for p in ("drv", "cons") for c in ("points", "wins")],
-    *[f"{p}_quali_roll_mean_{w}" for p in ("drv", "cons", "cir") for w in (5, 10)],
-    *[f"{e}_{c}" for e in ("driver", "constructor", "circuit") for c in (
-        "prev_pace_mean", "prev_pace_count", "pace_roll_mean_5", "pace_roll_mean_10", "pace_roll_mean_30",
-        "log_exp", "prev_resid_mean", "prev_resid_std", "resid_roll_mean_10", "resid_roll_std_10")],
+    "drv_points_prev", "drv_pos_prev", "drv_wins_prev", "cons_points_prev", "cons_pos_prev", "cons_wins_prev",
+    "drv_points_per_round_prev", "drv_wins_per_round_prev", "cons_points_per_round_prev", "cons_wins_per_round_prev",
+    "drv_quali_roll_mean_5", "drv_quali_roll_mean_10", "cons_quali_roll_mean_5", "cons_quali_roll_mean_10",
+    "cir_quali_roll_mean_5", "cir_quali_roll_mean_10",
+    "driver_prev_pace_mean", "driver_prev_pace_count", "driver_pace_roll_mean_5", "driver_pace_roll_mean_10",
+    "driver_pace_roll_mean_30", "driver_log_exp", "driver_prev_resid_mean", "driver_prev_resid_std",
+    "driver_resid_roll_mean_10", "driver_resid_roll_std_10",
+    "constructor_prev_pace_mean", "constructor_prev_pace_count", "constructor_pace_roll_mean_5", "constructor_pace_roll_mean_10",
+    "constructor_pace_roll_mean_30", "constructor_log_exp", "constructor_prev_resid_mean", "constructor_prev_resid_std",
+    "constructor_resid_roll_mean_10", "constructor_resid_roll_std_10",
+    "circuit_prev_pace_mean", "circuit_prev_pace_count", "circuit_pace_roll_mean_5", "circuit_pace_roll_mean_10",
+    "circuit_pace_roll_mean_30", "circuit_log_exp", "circuit_prev_resid_mean", "circuit_prev_resid_std",
+    "circuit_resid_roll_mean_10", "circuit_resid_roll_std_10",
     "lat", "lng", "alt",
 ]
 

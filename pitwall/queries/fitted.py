@@ -23,6 +23,7 @@ from pitwall.plans import features as P
 from pitwall.queries import query
 from pitwall.queries import roles as R
 from pitwall.queries.basic import integrated
+from pitwall.queries.histories import _CLS as _CLS_SQL
 from pitwall.queries.histories import cls_input, reg_input
 from pitwall.session import materialise, shared_folder
 
@@ -142,7 +143,8 @@ def model_baseline(spark, sf):
     return accuracy.select("accuracy", scalar_of(position.select("mae", "rmse", "r2")).alias("p")).select("accuracy", "p.*")
 
 
-@query("model_store")
+@query("model_store", _CLS_SQL + """, t AS (SELECT CAST(sum(n) AS BIGINT) AS n FROM (SELECT round(count(*) * 0.2::DOUBLE) AS n FROM cls GROUP BY target_cls))
+SELECT n AS n_rows, n AS n_same FROM t""")
 def model_store(spark, sf):
     """Save and load a whole pipeline; the loaded one predicts the same."""
     train, test = cls_sides(spark, sf)
