@@ -63,7 +63,8 @@ PATTERN = re.compile("|".join([
 _HINT = re.compile(r"\d{3}|@|\d\.\d|PRIVATE KEY|[=:][ \"']?")
 _TITLE_HINTS = sorted(TITLES)
 
-ENTITY = T.StructType([T.StructField("kind", T.StringType()), T.StructField("entity", T.StringType())])
+#: Draws after which a format counts as exhausted (few free values, or nothing in it that can change).
+LAST_DRAW = 12
 
 
 def split_name(mention: str) -> tuple[str, str, list[str]]:
@@ -87,9 +88,12 @@ def entity_of(kind: str, mention: str) -> str:
 
 
 def mentions(text: str | None) -> Iterator[tuple[int, int, str, str]]:
-    """(start, end, kind, entity) of all mentions in a whole text."""
+    """(start, end, kind, entity) of all mentions in a whole text.  A secret
+    without a letter or digit is masked already and no mention."""
     if text and (_HINT.search(text) or any(t in text for t in _TITLE_HINTS)):
         for match in PATTERN.finditer(text):
+            if match.lastgroup == "secret" and not any(map(str.isalnum, match[0])):
+                continue
             yield match.start(), match.end(), match.lastgroup, entity_of(match.lastgroup, match[0])
 
 
@@ -107,7 +111,8 @@ class Source:
         return value % n
 
     def like(self, text: str, hexadecimal: bool = False) -> str:
-        """Digits for digits, letters for letters of the same case, the rest as it is."""
+        """Digits for digits of the same script, Latin and Cyrillic letters for such
+        letters of the same case, the rest as it is."""
         out = []
         for c in text:
             if "0" <= c <= "9":
@@ -119,6 +124,10 @@ class Source:
                 out.append(chr(97 + self.below(26)))
             elif "A" <= c <= "Z":
                 out.append(chr(65 + self.below(26)))
+            elif c.isdecimal():
+                out.append(chr(ord(c) - int(c) + self.below(10)))
+            elif "а" <= c <= "я" or "А" <= c <= "Я":
+                out.append(chr(ord("а" if c.islower() else "А") + self.below(32)))
             else:
                 out.append(c)
         return "".join(out)
@@ -129,8 +138,12 @@ def _luhn(digits: str) -> int:
 
 
 def surrogate_entity(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
-    """The surrogate of an entity, itself an entity of the same kind and format."""
+    """The surrogate of an entity, itself an entity of the same kind and format.
+    Where ``LAST_DRAW`` draws were void, the format has no room: then it is a number
+    in brackets after the kind.  Names grow by syllables instead."""
     source = Source(key, kind, entity, attempt)
+    if attempt >= LAST_DRAW and kind != "name":
+        return f"[{kind} {source.below(1 << 32):08x}{source.below(1 << 32):08x}]"
     if kind == "email":
         name, domain = entity.split("@")
         inner, top = domain.rsplit(".", 1)
@@ -139,12 +152,15 @@ def surrogate_entity(key: bytes, kind: str, entity: str, attempt: int = 0) -> st
         private = entity.startswith(("10.", "127.", "192.168."))
         keep = 2 if entity.startswith("192.168.") else int(private)
         octets = entity.split(".")
+        if keep == 2 and attempt > 3:  # 65 536 addresses may all be in use: on to the larger private block
+            octets, keep = ["10", *octets[1:]], 1
         return ".".join(octets[:keep] + [str(1 + source.below(254)) for _ in octets[keep:]])
     if kind == "ip6":
         return source.like(entity, hexadecimal=True)
     if kind == "phone":
         keep = 1 if len(entity) > 10 else 0  # the first digit of the country code
-        return entity[:keep] + str(1 + source.below(9)) + source.like(entity[keep + 1:])
+        lead = entity[keep]
+        return entity[:keep] + chr(ord(lead) - int(lead) + 1 + source.below(9)) + source.like(entity[keep + 1:])
     if kind == "ssn":
         return source.like(entity)
     if kind == "card":
@@ -182,6 +198,8 @@ def _cased(word: str, like: str) -> str:
 
 def render(kind: str, mention: str, surrogate: str) -> str:
     """The surrogate in the mention's spelling: its punctuation, case and title."""
+    if surrogate.startswith(f"[{kind} "):
+        return surrogate
     if kind in ("phone", "card", "ssn"):
         digits = iter(surrogate)
         return re.sub(r"\d", lambda _: next(digits), mention)
@@ -224,7 +242,8 @@ def clashes(found: DataFrame, key: bytes) -> DataFrame:
 
     In each round every open entity draws.  A draw that is an original, or is
     already taken, is void; of several equal ones the smallest entity keeps it.
-    Rounds end when no entity is open; they see fewer rows each time.
+    Rounds end when no entity is open; they see fewer rows each time, and from
+    ``LAST_DRAW`` on draws no longer depend on what a format can hold.
     """
 
     @F.pandas_udf(T.StringType())

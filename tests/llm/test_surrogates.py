@@ -63,3 +63,16 @@ def test_documents_and_odd_rows(spark, sf):
     assert got.columns == [*odd.columns, "n_surrogates"]
     assert sorted((r["doc_id"] or 0, r["n_surrogates"]) for r in got.collect()) == [(0, 1), (1, 0), (2, 0), (3, 40_000), (3, 40_000), (4, 0)]
     assert P.pseudonymise(odd.limit(0), KEY).count() == 0
+
+
+def test_formats_without_room_end(spark):
+    """Masked, foreign and empty secrets, and more private addresses than the block holds free."""
+    assert P.replace("password=******** passwd=--------", KEY) == ("password=******** passwd=--------", 0)
+    texts = ["password=漢字漢字漢字漢字", "token=пароль", "-----BEGIN PRIVATE KEY----------END PRIVATE KEY-----", "+٩٦٦ ٥٥٥ ٣٨٢ ٤٥٦٧"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(10 + a, " ".join(f"192.168.{a}.{b}" for b in range(256))) for a in range(256)]
+    got = {r["doc_id"]: r["text"] for r in P.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+    assert got[0].startswith("password=[secret ") and got[2].startswith("[block ")
+    assert re.fullmatch("token=[а-я]{6}", got[1]) and got[1] != texts[1]
+    assert re.fullmatch("[+][٠-٩]{3} [٠-٩]{3} [٠-٩]{3} [٠-٩]{4}", got[3]) and got[3] != texts[3]
+    new = [ip for i, t in got.items() if i >= 10 for ip in t.split(" ")]
+    assert len(set(new)) == 65_536 and all(ip.startswith("10.") for ip in new)
