@@ -3,7 +3,7 @@
 The tree is fitted on a bounded sample; every vector is dealt to a leaf.  A query
 walks the tree with a priority queue, the branch with the largest inner product
 bound first, and visits as many leaves as a calibration against brute force asks
-for.  Leaves meet their queries in a shuffle, cut into blocks of bounded size.
+for.  Leaves meet their queries in a shuffle, both cut into blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ LEAF = 100
 ROUNDS = 8
 #: Queries that the number of visits is calibrated with, and the recall they must reach.
 CALIBRATION, RECALL = 200, 0.97
-#: Vectors of a leaf in one block.
-BLOCK = 4_096
+#: Vectors of a leaf in one block, and queries that one task holds against a block.
+BLOCK, ASKERS = 4_096, 16_384
 SEED = 5
 
 
@@ -138,7 +138,8 @@ _FOUND = "query_id long, vec_id long, score double"
 
 
 def _search_blocks(candidates: DataFrame, visits: DataFrame, k: int) -> DataFrame:
-    """(query_id, vec_id, score): the k best of each query in each block of a leaf."""
+    """(query_id, vec_id, score): the k best of each query in each block of a leaf;
+    a group is one block and one part of the leaf's queries."""
 
     def search(key, queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(block):
@@ -154,7 +155,8 @@ def _search_blocks(candidates: DataFrame, visits: DataFrame, k: int) -> DataFram
                 out += [(query, i, s) for i, s in zip(ids[places].tolist(), row[places].tolist()) if i != query]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    return visits.groupBy("leaf", "block").cogroup(candidates.groupBy("leaf", "block")).applyInPandas(search, _FOUND)
+    keys = "leaf", "block", "part"
+    return visits.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(search, _FOUND)
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -201,7 +203,7 @@ def calibrate(tree: Tree, truth: pd.DataFrame, queries: pd.DataFrame, leaf_of: d
 
 
 def nearest(embeddings: DataFrame, queries: "Column", k: int = 20, sample: int = SAMPLE, recall: float = RECALL,  # noqa: F821
-            block: int = BLOCK) -> DataFrame:
+            block: int = BLOCK, askers: int = ASKERS) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found (largest inner product,
     ties to the smaller id) of the rows for which ``queries`` holds, among all
     other rows.
@@ -209,7 +211,8 @@ def nearest(embeddings: DataFrame, queries: "Column", k: int = 20, sample: int =
     Equal vectors are one in the index; of their ids the k + 1 smallest are kept,
     as no query can return more, so a vector with very many copies is one row.  A
     leaf with more than ``block`` vectors is cut by a hash of the id, and a query
-    asks all its parts.  Rows without an id or a usable vector take no part.
+    asks all its blocks.  Equal queries are searched once, and a leaf that more than
+    ``askers`` of them visit meets them in parts of that size.  Rows without an id or a usable vector take no part.
     Rows that repeat an id with an equal vector count once.
     """
     spark = embeddings.sparkSession
@@ -224,9 +227,11 @@ def nearest(embeddings: DataFrame, queries: "Column", k: int = 20, sample: int =
     tree = Tree(_matrix(fitted["v"]))
     shared = spark.sparkContext.broadcast(tree)  # nodes are bounded by the sample
     dealt = materialise(_assign(heads, shared))
-    asked = materialise(rows.filter(queries).select(F.col("vec_id").alias("query_id"), "v"))
+    asked = materialise(rows.filter(queries).select(F.col("vec_id").alias("query_id"), "v")
+                        .join(heads.withColumnRenamed("vec_id", "head"), "v").select("query_id", "head"))
+    wanted = materialise(heads.join(asked.select(F.col("head").alias("vec_id")).distinct(), "vec_id").select(F.col("vec_id").alias("query_id"), "v"))
 
-    trial = asked.orderBy(F.xxhash64("query_id", F.lit(SEED)), "query_id").limit(CALIBRATION).select(F.col("query_id").alias("vec_id"), "v")
+    trial = wanted.orderBy(F.xxhash64("query_id", F.lit(SEED)), "query_id").limit(CALIBRATION).select(F.col("query_id").alias("vec_id"), "v")
     trial = materialise(trial)
     truth = exact(heads, trial, k, CALIBRATION).join(dealt.select("vec_id", "leaf"), "vec_id").select("query_id", "vec_id", "leaf").toPandas()
     visits = calibrate(tree, truth, trial.toPandas(), dict(zip(truth["vec_id"].tolist(), truth["leaf"].tolist())), recall)
@@ -235,17 +240,23 @@ def nearest(embeddings: DataFrame, queries: "Column", k: int = 20, sample: int =
         for batch in batches:
             bins = [shared.value.best_bins(v, visits) for v in _matrix(batch["v"])] if len(batch) else []
             lengths = [len(b) for b in bins]
-            yield pd.DataFrame({"query_id": np.repeat(batch["query_id"].to_numpy(), lengths), "v": np.repeat(batch["v"].to_numpy(), lengths),
+            yield pd.DataFrame({"query_id": np.repeat(batch["query_id"].to_numpy(), lengths),
                                 "leaf": np.array([x for b in bins for x in b], dtype=np.int64)})
 
-    sizes = dealt.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    blocks = materialise(dealt.join(sizes, "leaf").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")))
-    walked = asked.mapInPandas(walk, "query_id long, v array<double>, leaf long")
-    visited = walked.join(sizes, "leaf").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    found = materialise(_best(_search_blocks(blocks.drop("blocks"), visited, k + 1), k + 1).select("query_id", "vec_id", "score"))
-    # a query's own vector may stand for its copies
-    own = asked.join(heads, "v").select("query_id", "vec_id", F.aggregate(
+    walked = materialise(wanted.mapInPandas(walk, "query_id long, leaf long"))
+    blocks, parts = (F.ceil(F.count(F.lit(1)) / size).cast("int") for size in (block, askers))
+    sizes = materialise(dealt.groupBy("leaf").agg(blocks.alias("blocks")).join(walked.groupBy("leaf").agg(parts.alias("parts")), "leaf"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own_of = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
+    candidates = dealt.join(sizes, "leaf").select("vec_id", "v", "leaf", own_of("vec_id", "blocks").alias("block"), every("parts").alias("part"))
+    visited = walked.join(wanted, "query_id").join(sizes, "leaf").select(
+        "query_id", "v", "leaf", every("blocks").alias("block"), own_of("query_id", "parts").alias("part"))
+    found = materialise(_best(_search_blocks(candidates, visited, k), k).select("query_id", "vec_id", "score"))
+    own = wanted.select("query_id", F.col("query_id").alias("vec_id"), F.aggregate(  # a query's copies are as near as itself
         F.transform("v", lambda x: x * x), F.lit(0.0), lambda a, x: a + x).alias("score"))
-    every = found.unionByName(own).dropDuplicates(["query_id", "vec_id"]).join(copies, "vec_id")
-    every = every.filter(F.col("copy") != F.col("query_id")).select("query_id", F.col("copy").alias("vec_id"), "score")
-    return _best(every, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    near = found.unionByName(own).join(copies, "vec_id").select("query_id", F.col("copy").alias("vec_id"), "score")
+    lists = _best(near, k + 1).groupBy(F.col("query_id").alias("head")).agg(
+        F.sort_array(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("near"))  # k + 1 entries at most
+    mine = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
+    answers = asked.join(lists, "head").select("query_id", F.posexplode(mine).alias("rank", "hit"))
+    return answers.select("query_id", (F.col("rank") + 1).alias("rank"), "hit.vec_id", "hit.score")
