@@ -23,8 +23,9 @@ from pitwall.session import materialise
 #: and the leaf size this bounds the tree that goes to every task.
 SAMPLE = 40_000
 BRANCHES = 8
-#: Sample vectors in a leaf.
-LEAF = 100
+#: Largest share of the sample in a leaf, so that the tree has the same size at
+#: every number of rows, and sample vectors that are never split further.
+LEAF_SHARE, LEAF = 0.01, 16
 ROUNDS = 8
 #: Queries that the number of visits is calibrated with, and the recall they must reach.
 CALIBRATION, RECALL = 200, 0.97
@@ -224,7 +225,7 @@ def nearest(embeddings: DataFrame, queries: "Column", k: int = 20, sample: int =
     fitted = heads.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()
     if not len(fitted):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    tree = Tree(_matrix(fitted["v"]))
+    tree = Tree(_matrix(fitted["v"]), leaf=max(LEAF, math.ceil(LEAF_SHARE * len(fitted))))
     shared = spark.sparkContext.broadcast(tree)  # nodes are bounded by the sample
     dealt = materialise(_assign(heads, shared))
     asked = materialise(rows.filter(queries).select(F.col("vec_id").alias("query_id"), "v")
