@@ -140,15 +140,24 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray,
     return bins, offsets, filled
 
 
-def _packer(capacity: int):
+def _packer(capacity: int, group_rows: int | None = None):
+    """Packs a task's items; with ``group_rows``, as soon as it holds so many."""
+
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [b for b in batches if len(b)]
-        if not rows:
-            return
-        items = pd.concat(rows, ignore_index=True)
+        rows, held = [], 0
+        for batch in batches:
+            rows, held = [*rows, batch], held + len(batch)
+            if group_rows and held >= group_rows:
+                yield packed(rows)
+                rows, held = [], 0
+        if held:
+            yield packed(rows)
+
+    def packed(rows: list[pd.DataFrame]) -> pd.DataFrame:
+        items = pd.concat([b for b in rows if len(b)], ignore_index=True)
         at, offset, filled = best_fit(items["length"].to_numpy(), capacity)
         items["bin"], items["offset"], items["filled"] = items["item"].to_numpy()[at], offset, filled
-        yield items.drop(columns="item")
+        return items.drop(columns="item")
 
     return pack
 
@@ -175,7 +184,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END
     rows.
     """
     parts = materialise(pieces(docs, path, capacity, end_id).withColumn("item", F.monotonically_increasing_id()))
-    placed = materialise(parts.mapInPandas(_packer(capacity), PLACES))
+    placed = materialise(parts.mapInPandas(_packer(capacity, group_rows), PLACES))
     open_bins = materialise(placed.filter(F.col("filled") < capacity - slack).groupBy("bin").agg(F.max("filled").alias("length")))
     moves, count = None, open_bins.count()
     while count > 1:
