@@ -59,9 +59,11 @@ PATTERN = re.compile("|".join([
     r"(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,5}\)[ .-]?)?\d{2,5}(?:[ .-]?\d{2,5}){1,4}(?!\w)|(?<!\w)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w-])\d{3}[-.]\d{3}[-.]\d{4}(?![\w-]))",
     rf"(?P<name>(?<!\w)(?:{'|'.join(sorted(TITLES, key=len, reverse=True))})\.? {_NAME}(?: {_NAME})?)",
 ]))
-#: Without any of these there is nothing to find; a cheap look before the pattern.
-_HINT = re.compile(r"\d{3}|@|\d\.\d|PRIVATE KEY|[=:][ \"']?")
-_TITLE_HINTS = sorted(TITLES)
+#: What a mention of any kind cannot be without: emails have @, numbers two digits in a row or a digit on both sides of a point,
+#: IPv6 and secrets after a keyword : or =, the rest one of these literals, or is 32 hex digits.
+_NEEDS = re.compile(r"[@=:]|\d\d|\d\.\d")
+_LITERALS = ["PRIVATE KEY", "AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", *sorted(TITLES)]
+_HEX = re.compile(r"[0-9a-fA-F]{32}")
 
 #: Draws after which a format counts as exhausted (few free values, or nothing in it that can change).
 LAST_DRAW = 12
@@ -90,11 +92,12 @@ def entity_of(kind: str, mention: str) -> str:
 def mentions(text: str | None) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, kind, entity) of all mentions in a whole text.  A secret
     without a letter or digit is masked already and no mention."""
-    if text and (_HINT.search(text) or any(t in text for t in _TITLE_HINTS)):
-        for match in PATTERN.finditer(text):
-            if match.lastgroup == "secret" and not any(map(str.isalnum, match[0])):
-                continue
-            yield match.start(), match.end(), match.lastgroup, entity_of(match.lastgroup, match[0])
+    if not text or not (_NEEDS.search(text) or any(x in text for x in _LITERALS) or _HEX.search(text)):
+        return
+    for match in PATTERN.finditer(text):
+        if match.lastgroup == "secret" and not any(map(str.isalnum, match[0])):
+            continue
+        yield match.start(), match.end(), match.lastgroup, entity_of(match.lastgroup, match[0])
 
 
 class Source:
