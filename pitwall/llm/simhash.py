@@ -9,7 +9,7 @@ under its 2 x (1 + 32) such keys; rows that meet under a key are verified on all
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,25 +28,35 @@ KEY_ROWS = 20_000
 EDGES = "u long, v long, cut long"
 
 
-def simhash(text: str | None, width: int = 3) -> int:
-    """Signed 64-bit fingerprint of a whole text (see ``fingerprints``)."""
+def shingles(text: str | None, width: int) -> Iterator[np.ndarray]:
+    """XXH64 hashes of all word shingles of a whole text, in parts (see ``fingerprints``)."""
     import xxhash
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # both only touch ASCII
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     k = min(width, len(words))
     digest = xxhash.xxh64_intdigest
     starts, ends = starts[: len(words) - k + 1].tolist(), ends[k - 1:].tolist()
-    ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(starts), 65_536):
-        h = np.array([digest(joined[a:b], 42) for a, b in zip(starts[at:at + 65_536], ends[at:at + 65_536])], dtype=">u8")
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * ones > len(starts))
-    return int(bits.view(">i8")[0])
+        yield np.array([digest(joined[a:b], 42) for a, b in zip(starts[at:at + 65_536], ends[at:at + 65_536])], dtype=np.uint64)
+
+
+def majority(hashes: Iterable[np.ndarray]) -> int:
+    """Signed fingerprint: the bits that more than half of the hashes have."""
+    ones, n = np.zeros(64, dtype=np.int64), 0
+    for h in hashes:
+        ones += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        n += len(h)
+    return int(np.packbits(2 * ones > n).view(">i8")[0])
+
+
+def simhash(text: str | None, width: int = 3) -> int:
+    """Signed 64-bit fingerprint of a whole text (see ``fingerprints``)."""
+    return majority(shingles(text, width))
 
 
 @F.pandas_udf(T.LongType())

@@ -1,0 +1,145 @@
+"""Near copies by the exact Jaccard similarity of word shingles.
+
+Links of SimHash fingerprints join the closest texts first.  At a similarity of
+0.8 about 15 % of the bits differ, so segments short enough to differ by one bit
+at most would have some 10 bits and let nearly all texts meet.  The rest is
+therefore found by a prefix index, which misses no pair: in any fixed order of
+the shingles, two sets that are similar enough share one of their first ones.
+Every candidate is verified on the whole sets.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from pitwall.llm import simhash
+from pitwall.llm.components import components
+from pitwall.session import materialise
+
+WIDTH = 5
+#: Least similarity, as a fraction so that its bounds are exact.
+SHARE = (4, 5)
+#: Counters for the order of the shingles, and one in how many texts they count; only speed depends on them.
+COUNTERS, SAMPLE = 1 << 16, 8
+
+
+def _frequencies(docs: DataFrame, width: int) -> np.ndarray:
+    """Counts of shingles by a part of their hash, over a sample of the texts."""
+
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros(COUNTERS, dtype=np.int64)
+        for batch in batches:
+            for text in batch["text"]:
+                for h in simhash.shingles(text, width):
+                    np.add.at(sums, (h % np.uint64(COUNTERS)).astype(np.int64), 1)
+        used = np.flatnonzero(sums)
+        yield pd.DataFrame({"at": used, "n": sums[used]})
+
+    some = docs.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
+    out = np.zeros(COUNTERS, dtype=np.int64)
+    for r in some.mapInPandas(add_up, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        out[r["at"]] = r["n"]
+    return out
+
+
+def _prints(frequencies: np.ndarray, width: int):
+    result = T.StructType([T.StructField("node", T.LongType()), T.StructField("fp", T.LongType()),
+                           T.StructField("grams", T.ArrayType(T.LongType()))])
+
+    @F.pandas_udf(result)
+    def prints(texts: pd.Series) -> pd.DataFrame:
+        import xxhash
+
+        rows = []
+        for text in texts:
+            parts = list(simhash.shingles(text, width))
+            grams = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+            node = xxhash.xxh3_64_intdigest(grams.tobytes()) - (1 << 63)
+            order = np.argsort(frequencies[(grams % np.uint64(COUNTERS)).astype(np.int64)], kind="stable")  # rare ones first
+            rows.append((node, simhash.majority(parts), grams[order].view(np.int64)))
+        return pd.DataFrame(rows, columns=["node", "fp", "grams"])
+
+    return prints
+
+
+def verified(pairs: DataFrame, prints: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
+    """The pairs (u, v) of nodes whose sets of shingles are similar enough."""
+    a, b = share
+    pairs = materialise(pairs.distinct())
+    used = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+    sets = materialise(prints.join(used, "node", "left_semi").select("node", "grams").dropDuplicates(["node"]))
+    both = (pairs.join(sets.select(F.col("node").alias("u"), F.col("grams").alias("gu")), "u")
+            .join(sets.select(F.col("node").alias("v"), F.col("grams").alias("gv")), "v"))
+    shared = F.size(F.array_intersect("gu", "gv")).cast("long")
+    return materialise(both.filter((a + b) * shared >= a * (F.size("gu") + F.size("gv")).cast("long")).select("u", "v"))
+
+
+def links(prints: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
+    """(u, v): pairs of nodes of ``prints`` (node, fp, grams) that are similar
+    enough and connect all such pairs.
+
+    First the links of the fingerprints and, under each key of the prefix index,
+    those to its smallest node; so a large group of near copies yields few pairs.
+    Then all pairs under a key that these have not connected yet.
+    """
+    a, b = share
+    n = F.size("grams")
+    # a similar pair shares one of the first n - ceil(a n / b) + 1
+    first = (n - F.floor((a * n + b - 1) / b) + 1).cast("int")
+    keys = prints.filter(n > 0).select("node", n.alias("n"), F.posexplode(F.slice("grams", F.lit(1), first)).alias("at", "key"))
+    keys = materialise(keys.distinct())
+    leader = keys.groupBy("key").agg(F.min(F.struct("node", "n", "at")).alias("l"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    keys = materialise(keys.join(leader.select("key", "l"), "key"))
+
+    def fits(n: str, at: str, m: str, to: str):
+        """Whether the shingles from this one on suffice, it being the first that both share."""
+        most = F.least(F.col(n) - F.col(at), F.col(m) - F.col(to)).cast("long")
+        return (a + b) * most >= a * (F.col(n) + F.col(m)).cast("long")
+
+    # a shared shingle before this one would bring the pair up as well, under that one
+    stars = keys.select(F.col("l.node").alias("u"), F.col("node").alias("v"), "n", "at", F.col("l.n").alias("m"), F.col("l.at").alias("to"))
+    stars = stars.filter((F.col("u") != F.col("v")) & fits("n", "at", "m", "to")).select("u", "v")
+    of = materialise(prints.groupBy("fp").agg(F.min("node").alias("node"), F.max("node").alias("other")))
+    near = simhash.links(of.select("fp"))
+    close = (near.join(of.select(F.col("fp").alias("u"), F.col("node").alias("x")), "u")
+             .join(of.select(F.col("fp").alias("v"), F.col("node").alias("y")), "v").select(F.col("x").alias("u"), F.col("y").alias("v")))
+    close = close.unionByName(of.filter("node != other").select(F.col("node").alias("u"), F.col("other").alias("v")))
+    found = verified(stars.unionByName(close).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), prints, share)
+    roots = materialise(components(found))
+    open_ = keys.drop("l").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = open_.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y").select("key")
+    open_ = materialise(open_.join(several, "key", "left_semi"))
+    groups = open_.select("key", "root").distinct()
+    meet = groups.join(groups.withColumnRenamed("root", "root2"), "key").filter("root < root2")
+    left = open_.select("key", "root", F.col("node").alias("u"), "n", "at")
+    right = open_.select("key", F.col("root").alias("root2"), F.col("node").alias("v"), F.col("n").alias("m"), F.col("at").alias("to"))
+    rest = meet.join(left, ["key", "root"]).join(right, ["key", "root2"]).filter(fits("n", "at", "m", "to"))
+    return found.unionByName(verified(rest.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), prints, share))
+
+
+def drop_similar(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE) -> DataFrame:
+    """One row of ``docs`` for each group of near copies: that with the smallest
+    doc_id, a NULL one only if the group has no other.
+
+    Near copies are texts whose sets of ``width``-word shingles have a Jaccard
+    similarity of ``share`` or more, and what such pairs connect.  Words are those
+    of ``simhash.fingerprints``; texts without words (or NULL) are copies of each
+    other.  Rows go by their text, not by their doc_id alone.
+    """
+    mine = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    done = mine.withColumn("p", _prints(_frequencies(docs, width), width)("text"))
+    prints = materialise(done.select("doc_id", "h", "p.node", "p.fp", "p.grams"))
+    roots = materialise(components(links(prints.select("node", "fp", "grams"), share)))
+    rows = prints.select("doc_id", "h", "node").join(roots, "node", "left")
+    keep = rows.groupBy(F.coalesce("root", "node").alias("root")).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("k"))
+    keep = materialise(keep.select(F.col("k.doc_id").alias("__pw_id"), F.col("k.h").alias("__pw_h")).distinct())
+    hashed = docs.withColumn("__pw_hash", F.xxhash64("text"))
+    kept = hashed.join(keep, (F.col("__pw_hash") == F.col("__pw_h")) & F.col("doc_id").eqNullSafe(F.col("__pw_id")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "__pw_hash"]).select(docs.columns)

@@ -1,0 +1,68 @@
+import random
+
+from pyspark.sql import functions as F
+
+import corpus_pipeline as C
+from pitwall.llm import similar as M
+
+
+def slow_set(text):
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def slow_kept(rows):
+    """rows: (doc_id, text); the doc_ids that are left, by comparing all pairs."""
+    sets, root = [slow_set(t) for _, t in rows], list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a == sets[j] or 5 * len(a & sets[j]) >= 4 * len(a | sets[j]) > 0:
+                root[find(i)] = find(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        least.setdefault(find(i), []).append(doc_id)
+    return sorted(min((d is None, d or 0) for d in ids) for ids in least.values())
+
+
+def near_copies(rng, n, words, changes):
+    base = [f"w{rng.randrange(400)}" for _ in range(words)]
+    for _ in range(n):
+        copy = list(base)
+        for _ in range(rng.randrange(changes + 1)):
+            copy[rng.randrange(words)] = f"x{rng.randrange(400)}"
+        yield " ".join(copy)
+
+
+def test_all_pairs_of_similar_texts(spark):
+    rng = random.Random(8)
+    texts = [t for size, changes in ((5, 1), (60, 2), (120, 4), (300, 12)) for _ in range(6) for t in near_copies(rng, 9, size, changes)]
+    line = "one very common line of some ten words in all"
+    texts += [f"{line} " + " ".join(f"y{rng.randrange(999)}" for _ in range(rng.randrange(30))) for _ in range(60)]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((False, r["doc_id"]) for r in C.near_duplicates(spark, docs, "").collect())
+    assert got == slow_kept(rows) and len(got) < len(rows) - 60
+
+
+def test_documents_match_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert sorted((False, r["doc_id"]) for r in M.drop_similar(docs).collect()) == slow_kept(rows)
+
+
+def test_rows_go_by_their_text(spark):
+    a, b = "a b c d e f g h i j k l", "m n o p q r s t u v w x"
+    rows = [(5, a), (5, b), (2, b.upper()), (None, a + " z"), (None, a + " z"), (None, "q w e r t y"), (None, "q w  e r t y"), (7, None), (8, " "), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"node": F.lit(1), "h": F.lit(2), "key": F.lit(3)})
+    got = M.drop_similar(docs)
+    assert got.columns == docs.columns
+    left = [((r["doc_id"] or 0), (r["text"] or "")[:1].lower()) for r in got.collect()]
+    assert sorted(left) == [(0, "q"), (2, "m"), (5, "a"), (7, "")]
+    assert M.drop_similar(docs.limit(0)).count() == 0
