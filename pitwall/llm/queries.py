@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm import bpe, hypervectors, importance, kmeans_tree, packing, quality_rules, simhash, surrogates, templates, url_filter
+from pitwall.llm import (
+    bpe, conversation_repair, hypervectors, importance, kmeans_tree, packing, quality_rules, simhash, surrogates, templates, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -91,3 +92,9 @@ SURROGATE_KEY = b"pitwall surrogates"
 def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = surrogates.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
     return found.select("doc_id", "text", "n_surrogates")
+
+
+@_query
+def op13_generalised_lr_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return conversation_repair.repaired_report(conversation_repair.damage(turns), turns)
