@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwall.llm import (
-    bpe, conversation_repair, hypervectors, importance, kmeans_tree, packing, quality_rules, simhash, surrogates, templates, url_filter)
+    bpe, bucket_pointers, conversation_repair, hypervectors, importance, kmeans_tree, packing, quality_rules, simhash, surrogates, templates, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -94,6 +94,13 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", "n_surrogates")
 
 
+@_query
+def op12_bucket_pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = bucket_pointers.remove_repeats(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"]).alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @_query
 def op13_generalised_lr_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations")
