@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwall.llm import (
-    bpe, bucket_pointers, conversation_repair, hypervectors, importance, kmeans_tree, packing, quality_rules, simhash, surrogates, templates, url_filter)
+    bpe, bucket_pointers, conversation_repair, cover_tree, hypervectors, importance, kmeans_tree, packing, quality_rules, simhash, surrogates, templates, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -94,6 +94,13 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", "n_surrogates")
 
 
+@_query
+def op11_cover_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = cover_tree.finite_vectors(_table(spark, sf_dir, "embeddings"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return cover_tree.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 @_query
 def op12_bucket_pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = bucket_pointers.remove_repeats(_table(spark, sf_dir, "documents"))
