@@ -227,11 +227,19 @@ def near_duplicates(docs: DataFrame, bits: int = 3, key_rows: int = KEY_ROWS) ->
 
 
 def drop_near_duplicates(docs: DataFrame, bits: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is its component's smallest.
+    """The rows of ``docs`` that stand for their component: of each, the one with the
+    smallest doc_id (of several texts under it, the one with the smallest digest).
 
-    doc_id names the document: rows that repeat a doc_id are one document, of
-    which one row stays.  Rows with a NULL doc_id cannot be told apart and stay.
+    Repeated rows of it stay once.  A NULL doc_id comes after all others.
     """
-    gone = materialise(near_duplicates(docs, bits).filter("doc_id != component_id").select("doc_id").distinct())
-    known = docs.filter("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return known.select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    marked = docs.withColumn("__digest", F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull()))
+    prints = materialise(marked.select("doc_id", "__digest", _simhashes(F.col("text")).alias("fp")))
+    nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
+    root = components(links(nodes.select("fp"), bits))
+    # a fingerprint without links is its own root
+    home = nodes.join(root, nodes["fp"] == root["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    first = F.struct(F.col("doc_id").isNull().alias("__unnamed"), F.coalesce("doc_id", F.lit(0)).alias("__named"), F.col("__digest").alias("__first"))
+    stays = materialise(prints.join(home, "fp").groupBy("root").agg(F.min(first).alias("s")).select("s.*"))
+    same = (F.col("doc_id").isNull() == F.col("__unnamed")) & (F.coalesce("doc_id", F.lit(0)) == F.col("__named")) & (F.col("__digest") == F.col("__first"))
+    kept = marked.join(stays, same, "left_semi")
+    return kept.dropDuplicates(["doc_id", "__digest"]).select(docs.columns)

@@ -75,5 +75,17 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 1, 2, 7]
     assert S.near_duplicates(docs.limit(0)).count() == 0
+    assert S.drop_near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_one_row_of_each_component_stays(spark):
+    rows = [(1, "a b c d"), (5, "A b c d"), (5, "quite another text here"), (5, "quite another text here"),
+            (None, "copies without a name"), (None, "copies without a name"), (None, "a b c d"), (9, "quite another TEXT here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({n: F.lit("x") for n in ("named", "digest", "root", "fp")})
+    kept = sorted(((r["doc_id"], r["text"]) for r in S.drop_near_duplicates(docs).collect()), key=str)
+    assert kept == [(1, "a b c d"), (5, "quite another text here"), (None, "copies without a name")]
+
+
+def test_very_long_text():
     long = " ".join(f"w{i}" for i in range(200_000))
     assert S.simhash(long) & (1 << 64) - 1 == slow_print(long)
