@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm import importance, packing, quality_rules, similar, surrogates
+from pitwall.llm import importance, packing, quality_rules, simhash, surrogates
 from pitwall.llm.queries import SURROGATE_KEY
 from pitwall.session import materialise
 
@@ -25,8 +25,8 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies: 5-word shingles, Jaccard similarity 0.8 or more."""
-    return similar.drop_similar(docs)
+    """One document of each component of fingerprints of 3-word shingles within 3 bits."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
