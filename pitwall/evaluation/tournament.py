@@ -14,6 +14,7 @@ from pyspark.storagelevel import StorageLevel
 
 from pitwall.evaluation.classification import macro_from_counts
 from pitwall.evaluation.regression import regression_metrics
+from pitwall.models.dictionary import slot_names
 from pitwall.models.estimators import Candidate, Facts
 from pitwall.models.prep import class_weights, fit_preprocessor
 from pitwall.models.smote import smote
@@ -169,26 +170,25 @@ def leaderboard(table: DataFrame, order_by: str, fallback: str, gap: tuple[str,
 
 # ------------------------------------------------------------ importances
 
-def feature_names(df: DataFrame, features: str = "features") -> list[str]:
-    """Slot names of an assembled vector, from its column metadata."""
-    attrs = df.schema[features].metadata["ml_attr"]["attrs"]
-    slots = [a for group in attrs.values() for a in group]
-    return [a.get("name", f"f_{a['idx']}") for a in sorted(slots, key=lambda a: a["idx"])]
-
-
 def feature_importance(model, prepared: DataFrame, top_k: int = 30, residual: bool = False) -> DataFrame:
-    """(feature, importance, method): absolute coefficients or tree importances of a fitted model."""
+    """(feature, importance, method): absolute coefficients or tree importances of a fitted model.
+
+    Slots get their names from the dictionary; only those of the top are looked up.
+    """
     if hasattr(model, "coefficients"):
         values, method = [abs(float(v)) for v in model.coefficients.toArray()], "abs(coef_)"
     elif hasattr(model, "featureImportances"):
         values, method = [float(v) for v in model.featureImportances.toArray()], "feature_importances_"
     else:
         values, method = [], "none"
-    names = feature_names(prepared) if values else []
-    if len(names) != len(values):
-        raise ValueError(f"{len(values)} importances for {len(names)} feature slots: not the model's own rows")
-    top = sorted(zip(names, values), key=lambda p: (-p[1], p[0]))[:top_k]
-    return prepared.sparkSession.createDataFrame(
+    facts = prepared.schema["features"].metadata.get("slots", {"size": -1})
+    if values and facts["size"] != len(values):
+        raise ValueError(f"{len(values)} importances for {facts['size']} feature slots: not the model's own rows")
+    spark = prepared.sparkSession
+    slots = sorted(range(len(values)), key=lambda i: (-values[i], i))[:top_k]
+    names = slot_names(spark, facts, slots) if slots else {}
+    top = sorted(((names[i], values[i]) for i in slots), key=lambda p: (-p[1], p[0]))
+    return spark.createDataFrame(
         [(n, v, method, residual) for n, v in top],
         "feature string, importance double, method string, use_residual_target boolean")
 

@@ -1,8 +1,8 @@
 """Preparation learned on training rows and applied to any rows.
 
-What is learned is either a handful of numbers per column, kept as literals in
-an SQLTransformer, or a fitted built-in stage, so a whole model is one
-``PipelineModel`` that can be saved and loaded.
+What is learned is a handful of numbers per column and a dictionary table of the
+categories, kept in one encoder stage, so a whole model is one ``PipelineModel``
+that can be saved and loaded.
 """
 
 from __future__ import annotations
@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (
-    PCA, OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler, VectorSlicer)
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import PCA, VectorSlicer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitwall.models.dictionary import INFREQUENT, Encoder, category_counts, fit_categories
 from pitwall.operators.aggregates import entity_modes
 from pitwall.operators.quantiles import grouped_agg
 
@@ -95,12 +95,6 @@ def scale(df: DataFrame, numbers: Learned) -> DataFrame:
                            / F.lit(numbers.std[c]) for c in numbers.fill})
 
 
-def frequent_categories(train: DataFrame, column: str, min_frequency: int = 10) -> DataFrame:
-    """(value, is_frequent) of a categorical column of the training rows."""
-    return train.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("value")).agg(
-        (F.count(F.lit(1)) >= min_frequency).alias("is_frequent"))
-
-
 def onehot_long(train: DataFrame, df: DataFrame, ids: Sequence[str], columns: Sequence[str],
                 min_frequency: int = 10) -> DataFrame:
     """The ones of a one-hot matrix as (ids, column, category) rows.
@@ -108,65 +102,11 @@ def onehot_long(train: DataFrame, df: DataFrame, ids: Sequence[str], columns: Se
     Rare training categories share the category 'infrequent'; a category that
     training did not have yields no row (all zeros).
     """
-    out = None
-    for c in columns:
-        known = frequent_categories(train, c, min_frequency)
-        part = df.select(*ids, F.col(c).cast("string").alias("value")).join(known, "value").select(
-            *ids, F.lit(c).alias("column"),
-            F.when(F.col("is_frequent"), F.col("value")).otherwise(F.lit("infrequent")).alias("category"))
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def _sql_text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-# A one-hot vocabulary is part of the model and lives in every task.
-MAX_VOCABULARY = 5_000_000
-
-
-def vocabularies(train: DataFrame, columns: Sequence[str]) -> dict[str, list[tuple[str, int]]]:
-    """(value, rows) of each categorical column, most frequent first, in one job."""
-    long = train.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])).alias("e")).select("e.*")
-    counts = long.where(F.col("v").isNotNull()).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.limit(MAX_VOCABULARY + 1).collect()
-    if len(rows) > MAX_VOCABULARY:
-        raise ValueError(f"more than {MAX_VOCABULARY} categories in {list(columns)}: not one-hot material")
-    out: dict[str, list[tuple[str, int]]] = {c: [] for c in columns}
-    for r in rows:
-        out[r["c"]].append((r["v"], r["n"]))
-    return {c: sorted(v, key=lambda x: (-x[1], x[0])) for c, v in out.items()}
-
-
-def _category_stages(train: DataFrame, columns: Sequence[str], min_frequency: int) -> list:
-    """Index columns so that rare values share one index and unknown ones get none.
-
-    Index in the vocabulary of all training values tells unknown from known;
-    index in the vocabulary of frequent values tells rare from frequent.
-    """
-    known = vocabularies(train, columns)
-    modes = {c: (v[0][0] if v else "") for c, v in known.items()}
-    fills = ", ".join(f"coalesce(CAST(`{c}` AS STRING), {_sql_text(m)}) AS `{c}__s`" for c, m in modes.items())
-    everything, frequent, cases = [], [], []
-    for c in columns:
-        labels = sorted(v for v, _ in known[c]) or [""]
-        often = sorted(v for v, n in known[c] if n >= min_frequency) or labels[:1]
-        everything.append(labels)
-        frequent.append(often)
-        cases.append(f"CAST(CASE WHEN `{c}__a` = {len(labels)} THEN {len(often) + 1} WHEN `{c}__f` = {len(often)} "
-                     f"THEN {len(often)} ELSE `{c}__f` END AS DOUBLE) AS `{c}__i`")
-
-    def index(labels: list[list[str]], suffix: str) -> StringIndexerModel:
-        return StringIndexerModel.from_arrays_of_labels(
-            labels, inputCols=[f"{c}__s" for c in columns], outputCols=[f"{c}{suffix}" for c in columns],
-            handleInvalid="keep")
-
-    return [SQLTransformer(statement=f"SELECT *, {fills} FROM __THIS__"), index(everything, "__a"),
-            index(frequent, "__f"), SQLTransformer(statement=f"SELECT *, {', '.join(cases)} FROM __THIS__"),
-            OneHotEncoder(inputCols=[f"{c}__i" for c in columns], outputCols=[f"{c}__v" for c in columns],
-                          handleInvalid="keep", dropLast=True)]
+    known = category_counts(train, columns).select("column", "value", F.when(
+        F.col("n") >= min_frequency, F.col("value")).otherwise(F.lit(INFREQUENT)).alias("category"))
+    entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+    long = df.select(*ids, F.explode(F.array(*entries)).alias("e")).select(*ids, "e.*")
+    return long.join(known, ["column", "value"]).select(*ids, "column", "category")
 
 
 def fit_preprocessor(train: DataFrame, categories: Sequence[str], numbers: Sequence[str], *,
@@ -182,21 +122,11 @@ def fit_preprocessor(train: DataFrame, categories: Sequence[str], numbers: Seque
         raise ValueError("no input columns found")
     if kind not in ("linear", "tree"):
         raise ValueError(f"unknown kind {kind!r}")
-    stages, inputs = [], []
-    if categories:
-        stages += _category_stages(train, categories, min_frequency)
-        inputs += [f"{c}__v" for c in categories]
-    if numbers:
-        learned = learn_numbers(train, numbers)
-        exprs = []
-        for c in numbers:
-            x = f"coalesce(CAST(`{c}` AS DOUBLE), {learned.fill[c]!r}D)"
-            exprs.append(f"({x} - {learned.mean[c]!r}D) / {learned.std[c]!r}D AS `{c}__n`"
-                         if kind == "linear" else f"{x} AS `{c}__n`")
-        stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__"))
-        inputs += [f"{c}__n" for c in numbers]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol=output))
-    return Pipeline(stages=stages).fit(train)
+    found, path = fit_categories(train, categories, min_frequency) if categories else ([], None)
+    learned = learn_numbers(train, numbers) if numbers else None
+    facts = [{"name": c, "fill": learned.fill[c], "mean": learned.mean[c], "std": learned.std[c] if kind == "linear" else None}
+             for c in numbers]
+    return PipelineModel(stages=[Encoder(found, facts, path, output)])
 
 
 def fit_pca(df: DataFrame, features: str, variance: float = 0.90, output: str = "pca") -> tuple[PipelineModel, dict]:

@@ -160,12 +160,38 @@ def model_store(spark, sf):
 
 # ------------------------------------------------------------ preparation
 
-@query("prep_assemble")
+#: The hold-out of ``cls_sides`` in SQL.
+_CLS_SPLIT = _CLS_SQL + """, split AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY target_cls ORDER BY md5(concat_ws('|', raceId, driverId, '42')), raceId, driverId) - 1
+  < round(count(*) OVER (PARTITION BY target_cls) * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS side FROM cls)
+, train AS (SELECT * FROM split WHERE side = 'train'), test AS (SELECT * FROM split WHERE side = 'test')
+"""
+
+
+#: The candidate numbers that the classification input has.
+_CLS_HELD = ["grid", "year", "round", "driver_prev_rate", "driver_prev_count", "constructor_prev_rate", "constructor_prev_count",
+             "circuit_prev_rate", "circuit_prev_count"]
+
+
+def _sql_vocabulary(c: str) -> str:
+    return f"SELECT '{c}' AS c, CAST({c} AS VARCHAR) AS v, count(*) AS n FROM train WHERE {c} IS NOT NULL GROUP BY ALL"
+
+
+def _sql_known(c: str) -> str:
+    return f"""(SELECT count(*) FROM vocabulary v WHERE v.c = '{c}' AND v.v = coalesce(CAST(test.{c} AS VARCHAR),
+  (SELECT v FROM vocabulary WHERE c = '{c}' ORDER BY n DESC, v LIMIT 1)))"""
+
+
+@query("prep_assemble", _CLS_SPLIT + f""", vocabulary AS ({" UNION ALL ".join(map(_sql_vocabulary, prep.CLS_CATEGORIES))})
+, slots AS (SELECT c, count(*) FILTER (n >= 10) + CAST(bool_or(n < 10) AS INT) AS k FROM vocabulary GROUP BY 1)
+SELECT raceId, driverId, CAST((SELECT sum(k) FROM slots) AS BIGINT) + {len(_CLS_HELD)} AS n_slots,
+  CAST({" + ".join(map(_sql_known, prep.CLS_CATEGORIES))} AS BIGINT) AS n_ones FROM test""")
 def prep_assemble(spark, sf):
+    """Size of the assembled vectors, and how many categories of a row have a slot."""
     train, test = cls_sides(spark, sf)
+    pre = prep.fit_preprocessor(train, prep.CLS_CATEGORIES, prep.CLS_NUMBERS, min_frequency=10)
     x = vector_to_array("features")
-    out = prep.fit_preprocessor(train, prep.CLS_CATEGORIES, prep.CLS_NUMBERS, min_frequency=10).transform(test)
-    return out.select(*IDS, F.size(x).alias("n_slots"), F.size(F.filter(x, lambda v: v != 0)).alias("n_active"))
+    ones = F.filter(F.slice(x, 1, pre.stages[0].size - len(_CLS_HELD)), lambda v: v == 1)
+    return pre.transform(test).select(*IDS, F.size(x).cast("long").alias("n_slots"), F.size(ones).cast("long").alias("n_ones"))
 
 
 def _embedded(spark, sf) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pitwall.models import prep
+from pitwall.models.dictionary import category_counts, dense_slots
 from pitwall.operators import sampling as G
 from pitwall.queries import query
 from pitwall.queries import roles as R
@@ -141,6 +142,15 @@ def prep_onehot(spark, sf):
     return a.unionByName(prep.onehot_long(train, test, IDS, ["circuitId"], 10))
 
 
+@query("prep_dense_slots", _D + """, c AS (SELECT 'raceId' AS "column", CAST(raceId AS VARCHAR) AS value, count(*) AS n FROM dated GROUP BY ALL
+  UNION ALL SELECT 'driverId', CAST(driverId AS VARCHAR), count(*) FROM dated GROUP BY ALL)
+SELECT "column", value, n, CASE WHEN n >= 3 THEN count(*) FILTER (n >= 3) OVER (PARTITION BY "column" ORDER BY md5(value), value ROWS UNBOUNDED PRECEDING) - 1
+  ELSE count(*) FILTER (n >= 3) OVER (PARTITION BY "column") END AS slot FROM c""")
+def prep_dense_slots(spark, sf):
+    """The dictionary of two columns, one of them with nearly as many categories as a third of the rows."""
+    return dense_slots(materialise(category_counts(R.dated(spark, sf), ["raceId", "driverId"])), 3)
+
+
 @query("prep_scale", _TT + ", ".join(["SELECT raceId, driverId"] + [
     f"round((coalesce({c}, (SELECT median({c}) FROM tr)) - (SELECT avg(coalesce({c}, (SELECT median({c}) FROM tr))) FROM tr)) / "
     f"(SELECT stddev_pop(coalesce({c}, (SELECT median({c}) FROM tr))) FROM tr), 8) AS {c}" for c in ("grid", "laps", "fastestLapSpeed")])
