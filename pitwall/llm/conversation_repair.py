@@ -161,10 +161,10 @@ def _known(x):
 
 
 class _Open:
-    """The fragment that is being read, and the row before it."""
+    """The fragment that is being read.  ``starts``: the stacks that can stand before it."""
 
-    def __init__(self, conv, part, seq):
-        self.conv, self.part, self.seq = conv, part, seq
+    def __init__(self, conv, part, seq, starts):
+        self.conv, self.part, self.seq, self.starts = conv, part, seq, starts
         self.rows, self.chars, self.faults = [], 0, [0, 0, 0]
         self.roles, self.texts, self.turns = [], [], []
 
@@ -184,7 +184,7 @@ class _Open:
         initials = [r[0] for r in self.rows]
         illegal = sum(a + b not in PAIRS for a, b in zip(initials, initials[1:]))
         turns = sorted({t for t in self.turns if t is not None})
-        paths = [(s, e, cost, audit) for s in range(len(STACKS))
+        paths = [(s, e, cost, audit) for s in self.starts
                  for e, (cost, audit) in sorted(parse(self.rows, {s: (0, "")}).items())]
         return (self.conv, self.part, self.seq, self.roles, self.texts, len(turns), turns[0] if turns else None,
                 turns[-1] if turns else None, *self.faults, illegal, initials[0], initials[-1], paths)
@@ -206,8 +206,10 @@ def _fragments(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if now is None or now.conv != conv or now.full():
                 if now is not None:
                     out.append(now.done())
+                # a conversation that begins inside the partition begins with the empty stack
+                begins = now is not None and now.conv != conv
                 seq += 1
-                now = _Open(conv, part, seq)
+                now = _Open(conv, part, seq, [NUMBER[START]] if begins else range(len(STACKS)))
             now.add(turn, role, text, fault)
         if out:
             yield pd.DataFrame(out, columns=names).astype({c: "Int64" for c in ("conv_id", "first_turn", "last_turn")})
@@ -344,21 +346,24 @@ def repaired_rows(lines: DataFrame) -> DataFrame:
 def _hash(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     now, digest, empty = None, None, True
 
-    def row():
-        return pd.DataFrame({"conv_id": pd.array([now[0]], "Int64"), "repaired_sha256": [digest.hexdigest()]})
+    def table(rows):
+        return pd.DataFrame(rows, columns=["conv_id", "repaired_sha256"]).astype({"conv_id": "Int64"})
 
     for frame in frames:
+        out = []
         for conv, text in zip(frame["conv_id"].tolist(), frame["text"].tolist()):
             conv = (_known(conv),)
             if conv != now:
                 if now is not None:
-                    yield row()
+                    out.append((now[0], digest.hexdigest()))
                 now, digest, empty = conv, hashlib.sha256(), True
             if text is not None:
                 digest.update(("" if empty else "\n").encode() + text.encode())
                 empty = False
+        if out:
+            yield table(out)
     if now is not None:
-        yield row()
+        yield table([(now[0], digest.hexdigest())])
 
 
 def digests(lines: DataFrame) -> DataFrame:
