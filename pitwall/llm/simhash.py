@@ -226,6 +226,15 @@ def near_duplicates(docs: DataFrame, bits: int = 3, key_rows: int = KEY_ROWS) ->
     return prints.join(label, "fp").select("doc_id", "fp", "component_id")
 
 
+def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with the fingerprint in place of the text, a few texts at a time."""
+    for batch in batches:
+        text, fps = batch.column("text"), []
+        for at in range(0, len(text), 256):
+            fps += [simhash(t) for t in text.slice(at, 256).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fps, pa.int64())], names=["unnamed", "named", "digest", "fp"])
+
+
 def drop_near_duplicates(docs: DataFrame, bits: int = 3) -> DataFrame:
     """The rows of ``docs`` that stand for their component: of each, the one with the
     smallest doc_id (of several texts under it, the one with the smallest digest).
@@ -233,13 +242,20 @@ def drop_near_duplicates(docs: DataFrame, bits: int = 3) -> DataFrame:
     Repeated rows of it stay once.  A NULL doc_id comes after all others.
     """
     marked = docs.withColumn("__digest", F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull()))
-    prints = materialise(marked.select("doc_id", "__digest", _simhashes(F.col("text")).alias("fp")))
-    nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    root = components(links(nodes.select("fp"), bits))
+    named = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("named"), F.col("__digest").alias("digest"))
+    prints = materialise(marked.select(named.alias("row"), "text").select("row.*", "text").mapInArrow(
+        _prints, "unnamed boolean, named long, digest long, fp long"))
+    nodes = materialise(prints.select("fp").distinct())
+    root = components(links(nodes, bits))
     # a fingerprint without links is its own root
     home = nodes.join(root, nodes["fp"] == root["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
-    first = F.struct(F.col("doc_id").isNull().alias("__unnamed"), F.coalesce("doc_id", F.lit(0)).alias("__named"), F.col("__digest").alias("__first"))
-    stays = materialise(prints.join(home, "fp").groupBy("root").agg(F.min(first).alias("s")).select("s.*"))
-    same = (F.col("doc_id").isNull() == F.col("__unnamed")) & (F.coalesce("doc_id", F.lit(0)) == F.col("__named")) & (F.col("__digest") == F.col("__first"))
-    kept = marked.join(stays, same, "left_semi")
-    return kept.dropDuplicates(["doc_id", "__digest"]).select(docs.columns)
+    first = prints.join(home, "fp").groupBy("root", "unnamed", "named", "digest").agg(F.count(F.lit(1)).alias("n"))
+    stays = materialise(first.groupBy("root").agg(F.min(F.struct("unnamed", "named", "digest", "n")).alias("s")).select(
+        *[F.col(f"s.{c}").alias(f"__{c}1") for c in ("unnamed", "named", "digest", "n")]))
+    same = ((F.col("doc_id").isNull() == F.col("__unnamed1")) & (F.coalesce("doc_id", F.lit(0)) == F.col("__named1"))
+            & (F.col("__digest") == F.col("__digest1")))
+    kept = marked.join(stays, same)
+    if stays.where("__n1 > 1").isEmpty():  # no row that stays is repeated, so texts need no second sort
+        return kept.select(docs.columns)
+    once, again = kept.where("__n1 = 1"), kept.where("__n1 > 1").dropDuplicates(["doc_id", "__digest"])
+    return once.unionByName(again).select(docs.columns)
