@@ -14,7 +14,8 @@ from pyspark.storagelevel import StorageLevel
 
 from pitwall.evaluation.classification import macro_from_counts
 from pitwall.evaluation.regression import regression_metrics
-from pitwall.models.dictionary import slot_names
+from pitwall.models import gram
+from pitwall.models.dictionary import Encoder, slot_names
 from pitwall.models.estimators import Candidate, Facts
 from pitwall.models.prep import class_weights, fit_preprocessor
 from pitwall.models.smote import smote
@@ -112,9 +113,34 @@ def grid_search(splits: Sequence[Split], candidate: Candidate, *, score: Callabl
 
     with ThreadPoolExecutor(parallel) as pool:
         per_split = list(pool.map(run, splits))
-    scored = {i: [results[i] for results in per_split] for i in range(len(candidate.grid))}
+    return _summary(candidate, [[results[i] for results in per_split] for i in range(len(candidate.grid))], refit)
+
+
+def gram_search(splits: Sequence[Split], candidates: Sequence[Candidate], *, refit: str = "r2", categories, numbers,
+                min_frequency: int = 1, parallel: int = 4) -> dict[str, list[dict]] | None:
+    """``grid_search`` of linear candidates, all their points from the Gram matrices of the
+    folds; None if a fold has more slots than such a matrix may have."""
+    def fitted(split: Split) -> Encoder:
+        return fit_preprocessor(split[0], categories, numbers, min_frequency=min_frequency).stages[0]
+
+    with ThreadPoolExecutor(parallel) as pool:
+        encoders = list(pool.map(fitted, splits))
+    if max(e.size for e in encoders) > gram.MAX_SLOTS:
+        return None
+    points = [p for c in candidates for p in c.grid]
+    rows = gram.encode(splits, encoders)
+    scored = gram.score_grid(rows, gram.fit_grid(rows, encoders, points), encoders, points)
+    out, at = {}, 0
+    for c in candidates:
+        out[c.name] = _summary(c, scored[at:at + len(c.grid)], refit)
+        at += len(c.grid)
+    return out
+
+
+def _summary(candidate: Candidate, scored: Sequence[Sequence[tuple[dict, dict]]], refit: str) -> list[dict]:
+    """Mean and deviation over the splits of each point's (train, validation) metrics, best first."""
     out = []
-    for i, pairs in scored.items():
+    for i, pairs in enumerate(scored):
         row = {"model": candidate.name, "params": dict(candidate.grid[i])}
         for m in pairs[0][0]:
             valid = [v[m] for _, v in pairs]
@@ -136,9 +162,15 @@ def tournament(train: DataFrame, test: DataFrame, splits: Sequence[Split], candi
     score = score_classes if classify else score_numbers
     prep = dict(categories=categories, numbers=numbers, min_frequency=min_frequency, use_smote=use_smote and classify,
                 smote_k=smote_k, classify=classify)
+    linear = [c for c in candidates if c.gram]
+    searched = gram_search(splits, linear, refit=refit, categories=categories, numbers=numbers,
+                           min_frequency=min_frequency, parallel=parallel) if linear else None
     rows, best = [], None
     for candidate in candidates:
-        top = grid_search(splits, candidate, score=score, refit=refit, parallel=parallel, seed=seed, **prep)[0]
+        if searched and candidate.gram:
+            top = searched[candidate.name][0]
+        else:
+            top = grid_search(splits, candidate, score=score, refit=refit, parallel=parallel, seed=seed, **prep)[0]
         final = Prepared(train, test, candidate, seed=seed, **prep)
         model = final.model(candidate, top["params"], seed)
         on_test = score(model.transform(final.valid))

@@ -32,7 +32,7 @@ def partial_rows(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
                                        pa.array([sums[k] for k in keys], pa.list_(pa.float64()))], names=["spread", "key", "s"])
 
 
-def _add_all(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def add_all(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """All keys of a partition, added up as they come."""
     sums: dict[tuple[int, int], np.ndarray] = {}
     for frame in frames:
@@ -47,7 +47,7 @@ def collected(partial: DataFrame) -> dict[int, np.ndarray]:
     """The sums by key, on the driver: the keys are as many as the caller has models, not
     rows.  Tasks that share a spread are added up first, so at most ``SPREAD`` rows a key come here."""
     sums: dict[int, np.ndarray] = {}
-    for r in partial.repartition(SPREAD, "spread").mapInPandas(_add_all, PARTIAL).collect():
+    for r in partial.repartition(SPREAD, "spread").mapInPandas(add_all, PARTIAL).collect():
         s = np.array(r["s"])
         sums[r["key"]] = sums[r["key"]] + s if r["key"] in sums else s
     return sums

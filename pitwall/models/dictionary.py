@@ -69,7 +69,8 @@ class Encoder(Transformer, MLReadable, MLWritable):
     def table(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path)
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
+    def parts(self, dataset: DataFrame, indices: str, values: str) -> DataFrame:
+        """Add the slots that are not zero and their values as two array columns."""
         out, slots = dataset, []
         for i, c in enumerate(self.categories):
             own = self.table(dataset.sparkSession).where(F.col("column") == c["name"]).select(
@@ -77,22 +78,29 @@ class Encoder(Transformer, MLReadable, MLWritable):
             key = F.coalesce(F.col(c["name"]).cast("string"), F.lit(c["mode"]))
             out = out.withColumn(f"__k{i}", key).join(own, F.col(f"__k{i}") == F.col(f"__v{i}"), "left")
             slots.append(F.col(f"__s{i}"))
-        values = []
+        first = self.size - len(self.numbers)
+        entries = [F.struct(s.alias("i"), F.when(s.isNotNull(), 1.0).alias("x")) for s in slots]
+        entries += [F.struct(F.lit(first + i).alias("i"), v.alias("x")) for i, v in enumerate(self._values())]
+        held = F.filter(F.array(*entries), lambda e: e["i"].isNotNull() & (e["x"] != 0))
+        drop = [f"__{p}{i}" for i in range(len(slots)) for p in "kvs"]
+        return out.withColumns({indices: F.transform(held, lambda e: e["i"]), values: F.transform(held, lambda e: e["x"])}).drop(*drop)
+
+    def _values(self) -> list[Column]:
+        out = []
         for n in self.numbers:
             x = F.coalesce(F.col(n["name"]).cast("double"), F.lit(n["fill"]))
-            values.append(x if n["std"] is None else (x - F.lit(n["mean"])) / F.lit(n["std"]))
-        if slots:
-            first = self.size - len(values)
-            entries = [F.struct(s.alias("i"), F.when(s.isNotNull(), 1.0).alias("x")) for s in slots]
-            entries += [F.struct(F.lit(first + i).alias("i"), v.alias("x")) for i, v in enumerate(values)]
-            held = F.filter(F.array(*entries), lambda e: e["i"].isNotNull() & (e["x"] != 0))
-            vector = _sparse(self.size, F.transform(held, lambda e: e["i"]), F.transform(held, lambda e: e["x"]))
+            out.append(x if n["std"] is None else (x - F.lit(n["mean"])) / F.lit(n["std"]))
+        return out
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        if self.categories:
+            vector = _sparse(self.size, F.col("__indices"), F.col("__values"))
+            out = self.parts(dataset, "__indices", "__values").withColumn(self.output, vector).drop("__indices", "__values")
         else:
-            vector = array_to_vector(F.array(*values))
-        names = {"slots": {"table": self.path, "size": self.size, "numbers": [n["name"] for n in self.numbers],
-                           "categories": [{k: c[k] for k in ("name", "offset", "slots")} for c in self.categories]}}
-        drop = [f"__{p}{i}" for i in range(len(slots)) for p in "kvs"]
-        return out.withColumn(self.output, vector).withMetadata(self.output, names).drop(*drop)
+            out = dataset.withColumn(self.output, array_to_vector(F.array(*self._values())))
+        return out.withMetadata(self.output, {"slots": {
+            "table": self.path, "size": self.size, "numbers": [n["name"] for n in self.numbers],
+            "categories": [{k: c[k] for k in ("name", "offset", "slots")} for c in self.categories]}})
 
     def write(self) -> MLWriter:
         return _EncoderWriter(self)

@@ -36,6 +36,7 @@ class Candidate:
     kind: str = "linear"
     weighted: bool = False
     smote: bool = True
+    gram: bool = False  # searched on Gram matrices
 
 
 def points(**lists) -> list[dict]:
@@ -173,14 +174,15 @@ def regressors(full: bool = False) -> list[Candidate]:
         "hist_gbt": points(n_estimators=[400, 800], learning_rate=[0.03, 0.05, 0.1], max_depth=[6, 10], min_samples_leaf=[20, 50, 100]),
         "knn": points(n_neighbors=[7, 15, 31], weights=["uniform", "distance"]),
     } if full else {
-        "ridge": points(alpha=[1.0, 10.0]), "elasticnet": points(alpha=[1.0], l1_ratio=[0.5]),
+        # whole grids cost no more passes than one point
+        "ridge": points(alpha=alphas), "elasticnet": net,
         "rf": points(n_estimators=[30], max_depth=[8], min_samples_leaf=[2], max_features=["sqrt"]),
         "gbt": points(n_estimators=[20], learning_rate=[0.1], max_depth=[3]), "hist_gbt": [],
         "knn": points(n_neighbors=[15], weights=["distance"]),
     }
     made = [
-        Candidate("ridge", grids["ridge"], ridge, "linear"),
-        Candidate("elasticnet", grids["elasticnet"], elastic_net, "linear"),
+        Candidate("ridge", grids["ridge"], ridge, "linear", gram=True),
+        Candidate("elasticnet", grids["elasticnet"], elastic_net, "linear", gram=True),
         Candidate("rf", grids["rf"], forest_regressor, "tree"),
         Candidate("gbt", grids["gbt"], boosted_regressor, "tree"),
         Candidate("hist_gbt", grids["hist_gbt"], boosted_regressor, "tree"),

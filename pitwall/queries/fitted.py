@@ -16,7 +16,7 @@ from pitwall.evaluation import tournament as T
 from pitwall.models import estimators as M
 from pitwall.models import prep
 from pitwall.models.clustering import points_2d
-from pitwall.models.smote import smote
+from pitwall.models.smote import new_rows, smote
 from pitwall.operators import sampling as G
 from pitwall.operators.quantiles import scalar_of
 from pitwall.plans import features as P
@@ -220,15 +220,34 @@ def prep_pca_2d(spark, sf):
         {"explained_1": F.lit(float(first)), "explained_2": F.lit(float(second))})
 
 
-@query("prep_smote", """WITH f AS (SELECT CASE WHEN label < 3 THEN 1 ELSE 0 END AS label FROM embeddings), s AS (SELECT label, count(*) AS n FROM f GROUP BY 1)
-SELECT label, false AS synthetic, n FROM s UNION ALL SELECT label, true, (SELECT max(n) FROM s) - n FROM s WHERE n < (SELECT max(n) FROM s)""")
-def prep_smote(spark, sf):
-    rows = R.table(spark, sf, "embeddings").select(
+_SMOTE = "WITH f AS (SELECT CASE WHEN label < 3 THEN 1 ELSE 0 END AS label FROM embeddings), s AS (SELECT label, count(*) AS n FROM f GROUP BY 1)\n"
+
+
+def _two_classes(spark, sf) -> DataFrame:
+    return R.table(spark, sf, "embeddings").select(
         "vec_id", F.col("embedding").cast("array<double>").alias("x"), F.when(F.col("label") < 3, 1).otherwise(0).alias("label"))
-    made = smote(rows, id_col="vec_id", features="x", label="label", k=5)
+
+
+@query("prep_smote", _SMOTE + "SELECT label, false AS synthetic, n FROM s UNION ALL SELECT label, true, (SELECT max(n) FROM s) - n FROM s WHERE n < (SELECT max(n) FROM s)")
+def prep_smote(spark, sf):
+    made = smote(_two_classes(spark, sf), id_col="vec_id", features="x", label="label", k=5)
     return made.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("prep_smote_between", _SMOTE + "SELECT label, (SELECT max(n) FROM s) - n AS n, (SELECT max(n) FROM s) - n AS n_between FROM s WHERE n < (SELECT max(n) FROM s)")
+def prep_smote_between(spark, sf):
+    """How many new rows lie on the line between two different rows of their class, by a join with the originals."""
+    rows = _two_classes(spark, sf)
+    made = new_rows(rows, id_col="vec_id", features="x", label="label", k=5)
+    a, b = (rows.select(F.col("vec_id").alias(side), F.col("x").alias(f"x_{side}"), F.col("label").alias(f"l_{side}")) for side in ("source", "neighbor"))
+    line = F.zip_with("x_source", "x_neighbor", lambda p, q: p + F.col("gap") * (q - p))
+    off = F.array_max(F.zip_with("x", line, lambda p, q: F.abs(p - q)))
+    between = ((F.col("l_source") == F.col("label")) & (F.col("l_neighbor") == F.col("label")) & (F.col("source") != F.col("neighbor"))
+               & F.col("gap").between(0, 1) & (off < 1e-12))
+    return made.join(a, "source").join(b, "neighbor").groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(between).alias("n_between"))
+
+
 # ------------------------------------------------------------ search and evaluation
 
 @query("eval_grid_cv")
