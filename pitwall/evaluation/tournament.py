@@ -42,14 +42,29 @@ def race_splits(df: DataFrame, folds: DataFrame, k: int = 5) -> list[Split]:
 
 # ------------------------------------------------------------ scores
 
-def score_classes(predicted: DataFrame) -> dict[str, float]:
-    rows = predicted.groupBy(F.col("label").cast("double").alias("a"), F.col("prediction").cast("double").alias("b")).count().collect()
-    return macro_from_counts({(r["a"], r["b"]): r["count"] for r in rows})  # classes squared rows
+def _with_place(frames: Mapping[tuple, DataFrame]) -> DataFrame:
+    """All predictions as one table; ``place`` is the number of the frame they come from."""
+    out = None
+    for i, df in enumerate(frames.values()):
+        part = df.select(F.lit(i).alias("place"), F.col("label").cast("double").alias("label"), F.col("prediction").cast("double").alias("prediction"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def score_classes(frames: Mapping[tuple, DataFrame]) -> dict[tuple, dict[str, float]]:
+    """Class metrics of many predictions from one aggregate over all of them."""
+    counts = _with_place(frames).groupBy("place", "label", "prediction").count().collect()  # frames x classes squared rows
+    tables: dict[int, dict] = {}
+    for r in counts:
+        tables.setdefault(r["place"], {})[(r["label"], r["prediction"])] = r["count"]
+    return {key: macro_from_counts(tables.get(i, {})) for i, key in enumerate(frames)}
 
 
-def score_numbers(predicted: DataFrame) -> dict[str, float]:
-    row = regression_metrics(predicted, "label", "prediction").first()
-    return {m: row[m] for m in REG_METRICS}
+def score_numbers(frames: Mapping[tuple, DataFrame]) -> dict[tuple, dict[str, float]]:
+    """Regression metrics of many predictions from one aggregate over all of them."""
+    rows = regression_metrics(_with_place(frames), "label", "prediction", by=["place"]).collect()
+    found = {r["place"]: {m: r[m] for m in REG_METRICS} for r in rows}
+    return {key: found.get(i, dict.fromkeys(REG_METRICS)) for i, key in enumerate(frames)}
 
 
 # ------------------------------------------------------------ one prepared split
@@ -95,19 +110,23 @@ class Prepared:
 
 # ------------------------------------------------------------ search
 
-def grid_search(splits: Sequence[Split], candidate: Candidate, *, score: Callable[[DataFrame], dict],
+def grid_search(splits: Sequence[Split], candidate: Candidate, *, score: Callable[[Mapping], dict],
                 refit: str, parallel: int = 4, seed: int = 42, **prep) -> list[dict]:
     """Mean and deviation of every metric on train and validation for each grid point.
 
-    Preparation is fitted once per split; up to ``parallel`` splits are worked on
-    at a time, each as a chain of Spark jobs.
+    Preparation is fitted once per split, and the predictions of all its points on
+    both sides are scored together; up to ``parallel`` splits are worked on at a time.
     """
 
     def run(split: Split) -> list[tuple[dict, dict]]:
         ready = Prepared(*split, candidate, seed=seed, **prep)
         try:
-            models = (ready.model(candidate, params, seed) for params in candidate.grid)
-            return [(score(m.transform(ready.train)), score(m.transform(ready.valid))) for m in models]
+            frames = {}
+            for i, params in enumerate(candidate.grid):
+                model = ready.model(candidate, params, seed)
+                frames[i, "train"], frames[i, "valid"] = model.transform(ready.train), model.transform(ready.valid)
+            found = score(frames)
+            return [(found[i, "train"], found[i, "valid"]) for i in range(len(candidate.grid))]
         finally:
             ready.release()
 
@@ -173,7 +192,7 @@ def tournament(train: DataFrame, test: DataFrame, splits: Sequence[Split], candi
             top = grid_search(splits, candidate, score=score, refit=refit, parallel=parallel, seed=seed, **prep)[0]
         final = Prepared(train, test, candidate, seed=seed, **prep)
         model = final.model(candidate, top["params"], seed)
-        on_test = score(model.transform(final.valid))
+        on_test = score({"test": model.transform(final.valid)})["test"]
         row = {"model": candidate.name, "use_smote": bool(prep["use_smote"] and candidate.smote),
                "best_params": str(top["params"]),
                **{k: top[k] for m in metrics for k in (f"cv_{m}_mean", f"cv_{m}_std")},
@@ -233,7 +252,7 @@ def permutation_importance(predict: Callable[[DataFrame], DataFrame], df: DataFr
     and takes the shuffled column from there.  All copies are scored in one pass.
     ``df`` has ``label``; ``predict`` adds ``prediction``.
     """
-    base = score_classes(predict(df))["f1_macro"]
+    base = score_classes({"base": predict(df)})["base"]["f1_macro"]
     copies = None
     for r in range(repeats):
         here = hash_rank(df, ids, name="__place", seed=seed)

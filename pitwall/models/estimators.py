@@ -137,6 +137,9 @@ def knn_regressor(p: Params, f: Facts, seed: int) -> Knn:
 
 # ------------------------------------------------------------ grids
 # The full search grids.  The short ones are the default.
+ALPHAS = [0.01, 0.05, 0.1, 0.2, 0.5, 1.0, 2.0, 5.0, 10.0, 20.0, 50.0, 100.0, 200.0, 500.0]
+NET_ALPHAS = [0.001, 0.005, 0.01, 0.05, 0.1, 0.2, 0.5, 1.0, 2.0, 5.0, 10.0]
+NET_RATIOS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
 
 def classifiers(full: bool = False) -> list[Candidate]:
     grids = {
@@ -164,18 +167,16 @@ def classifiers(full: bool = False) -> list[Candidate]:
 
 
 def regressors(full: bool = False) -> list[Candidate]:
-    alphas = [0.01, 0.05, 0.1, 0.2, 0.5, 1.0, 2.0, 5.0, 10.0, 20.0, 50.0, 100.0, 200.0, 500.0]
-    net = points(alpha=[0.001, 0.005, 0.01, 0.05, 0.1, 0.2, 0.5, 1.0, 2.0, 5.0, 10.0],
-                 l1_ratio=[0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0])
+    net = points(alpha=NET_ALPHAS, l1_ratio=NET_RATIOS)
     grids = {
-        "ridge": points(alpha=alphas), "elasticnet": net,
+        "ridge": points(alpha=ALPHAS), "elasticnet": net,
         "rf": points(n_estimators=[600, 1200], max_depth=[12, 20, None], min_samples_leaf=[1, 2, 5], max_features=["sqrt", "log2"]),
         "gbt": points(n_estimators=[400, 800], learning_rate=[0.03, 0.05, 0.1], max_depth=[2, 3]),
         "hist_gbt": points(n_estimators=[400, 800], learning_rate=[0.03, 0.05, 0.1], max_depth=[6, 10], min_samples_leaf=[20, 50, 100]),
         "knn": points(n_neighbors=[7, 15, 31], weights=["uniform", "distance"]),
     } if full else {
         # whole grids cost no more passes than one point
-        "ridge": points(alpha=alphas), "elasticnet": net,
+        "ridge": points(alpha=ALPHAS), "elasticnet": net,
         "rf": points(n_estimators=[30], max_depth=[8], min_samples_leaf=[2], max_features=["sqrt"]),
         "gbt": points(n_estimators=[20], learning_rate=[0.1], max_depth=[3]), "hist_gbt": [],
         "knn": points(n_neighbors=[15], weights=["distance"]),

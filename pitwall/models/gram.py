@@ -118,33 +118,52 @@ def solve_ridge(a: np.ndarray, b: np.ndarray, n: float, alphas: Sequence[float])
     return [vectors @ (turned / (np.maximum(values, 0.0) + alpha / n)) for alpha in alphas]
 
 
-def solve_net(a: np.ndarray, b: np.ndarray, alpha: float, l1: float, w: np.ndarray, cycles: int = 5000, tol: float = 1e-9) -> np.ndarray:
-    """|y - Xw|^2 / 2n + alpha (l1 |w|_1 + (1 - l1) |w|^2 / 2) by coordinate descent on the Gram matrix, from ``w``."""
+def solve_net(a: np.ndarray, b: np.ndarray, alpha: float, l1: float, w: np.ndarray, steps: int = 10_000, tol: float = 1e-9) -> np.ndarray:
+    """|y - Xw|^2 / 2n + alpha (l1 |w|_1 + (1 - l1) |w|^2 / 2) on the Gram matrix, from ``w``.
+
+    Signs are guessed, the quadratic on the active slots is solved outright, and the
+    way there is followed to its best point with a sign change or the end.  Every step
+    lowers the objective, so a sign pattern never comes back.
+    """
     lasso, ridge = alpha * l1, alpha * (1 - l1)
+    # a trace of a ridge tells equal columns apart
+    h = a + (ridge + 1e-10 * max(float(np.trace(a)) / max(len(b), 1), 1e-30)) * np.eye(len(b))
     if lasso == 0:
-        return np.linalg.solve(a + ridge * np.eye(len(b)), b)
-    w, diagonal = w.copy(), np.diag(a)
-    g = a @ w
-    scale = max(float(np.abs(b).max()), 1e-30)
-    usable = np.flatnonzero(diagonal > 1e-12)
-    active = usable
-    for _ in range(cycles):
-        change = 0.0
-        for j in active:
-            old = w[j]
-            pull = b[j] - g[j] + diagonal[j] * old
-            new = np.sign(pull) * max(abs(pull) - lasso, 0.0) / (diagonal[j] + ridge)
-            if new != old:
-                g += a[:, j] * (new - old)
-                w[j] = new
-                change = max(change, abs(new - old) * diagonal[j])
-        if change <= tol * scale:
-            if len(active) == len(usable):
-                break
-            active = usable  # what was left out gets its turn before the end
+        return np.linalg.solve(h, b)
+    usable, slack = np.diag(a) > 1e-12, tol * max(float(np.abs(b).max()), 1e-30)
+
+    w, many = w.copy(), 16
+    for _ in range(steps):
+        slope = b - h @ w
+        on = w != 0
+        excess = np.where(on | ~usable, 0.0, np.abs(slope) - lasso)
+        settled = not on.any() or np.abs(slope[on] - lasso * np.sign(w[on])).max() <= slack
+        if settled and excess.max() <= slack:
+            break
+        sign = np.sign(w)
+        if settled:
+            enter = np.argsort(-excess)[:many]
+            enter = enter[excess[enter] > slack]
+            sign[enter] = np.sign(slope[enter])
+            on[enter] = True
+        at = np.flatnonzero(on)
+        part = h[np.ix_(at, at)]
+        way = np.linalg.solve(part, b[at] - lasso * sign[at]) - w[at]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            cross = -w[at] / way
+        times = np.append(np.unique(cross[(cross > 0) & (cross < 1)]), 1.0)
+        tries = w[at] + times[:, None] * way
+        tries[np.abs(cross[None, :] - times[:, None]) <= 1e-14 * times[:, None]] = 0.0
+        # the change of the objective itself: its value would hide small steps
+        change = (-times * (way @ slope[at]) + 0.5 * times ** 2 * (way @ part @ way)
+                  + lasso * (np.abs(tries) - np.abs(w[at])).sum(1))
+        best = int(change.argmin())
+        if change[best] < 0:
+            w[at], many = tries[best], 16
+        elif many > 1:
+            many = 1  # several at once may lead nowhere, the worst one alone does not
         else:
-            active = np.flatnonzero(w) if len(active) == len(usable) and (w != 0).sum() < len(usable) else active
-            active = usable if not len(active) else active
+            break
     return w
 
 

@@ -14,7 +14,7 @@ from pitwall.evaluation import classification as E
 from pitwall.evaluation import regression as RG
 from pitwall.evaluation import tournament as T
 from pitwall.models import estimators as M
-from pitwall.models import prep
+from pitwall.models import gram, prep
 from pitwall.models.clustering import points_2d
 from pitwall.models.smote import new_rows, smote
 from pitwall.operators import sampling as G
@@ -24,7 +24,7 @@ from pitwall.queries import query
 from pitwall.queries import roles as R
 from pitwall.queries.basic import integrated
 from pitwall.queries.histories import _CLS as _CLS_SQL
-from pitwall.queries.histories import cls_input, reg_input
+from pitwall.queries.histories import _REG_SQL, cls_input, reg_input
 from pitwall.session import materialise, shared_folder
 
 IDS = ["raceId", "driverId"]
@@ -120,8 +120,70 @@ def _reg_query(key: str, name: str):
     return run
 
 
-_reg_query("model_ridge", "ridge")
-_reg_query("model_elasticnet", "elasticnet")
+def _reg_grid(spark, sf, name: str):
+    """All points of a linear candidate on the hold-out: fits, and metrics per point."""
+    train, test, _ = reg_sides(spark, sf)
+    encoder = prep.fit_preprocessor(train, prep.REG_CATEGORIES, prep.REG_NUMBERS).stages[0]
+    points = _candidate(M.regressors(), name).grid
+    rows = gram.encode([(train, test)], [encoder])
+    fits = gram.fit_grid(rows, [encoder], points)
+    return fits, points, gram.score_grid(rows, fits, [encoder], points)
+
+
+def _grid_query(key: str, name: str):
+    @query(key)
+    def run(spark, sf):
+        _, points, scores = _reg_grid(spark, sf, name)
+        rows = [(name, float(p["alpha"]), float(p.get("l1_ratio", 0.0)), *(sides[0][1][m] for m in T.REG_METRICS)) for p, sides in zip(points, scores)]
+        return spark.createDataFrame(rows, "model string, alpha double, l1_ratio double, rmse double, mae double, r2 double")
+
+    return run
+
+
+_grid_query("model_ridge", "ridge")
+_grid_query("model_elasticnet", "elasticnet")
+
+#: Rows on each side of ``reg_sides``; both are large enough for a split by time from sf0.01 on.
+_REG_SIDES_SQL = f"SELECT count(*) FILTER (year <= 1999) AS a, count(*) FILTER (year > 1999) AS b, count(*) AS n FROM ({_REG_SQL}) WHERE target_reg IS NOT NULL"
+_N_TRAIN = f"(SELECT CASE WHEN a >= 200 AND b >= 200 THEN a ELSE n - CAST(ceil(n * 0.2::DOUBLE) AS BIGINT) END FROM ({_REG_SIDES_SQL}))"
+
+
+def _optimal(spark, sf, name: str):
+    """Every fit of a grid: rows it saw, and whether it meets its optimality conditions to a millionth."""
+    fits, points, _ = _reg_grid(spark, sf, name)
+    known = spark.createDataFrame([(i, float(p["alpha"]), float(p.get("l1_ratio", 0.0))) for i, p in enumerate(points)], "point int, alpha double, l1_ratio double")
+    return fits.join(known, "point").select("alpha", "l1_ratio", F.col("n").alias("n_train"), (F.col("violation") < 1e-6).alias("optimal"))
+
+
+@query("model_ridge_optimal", f"""SELECT unnest([{", ".join(f"{a}::DOUBLE" for a in M.ALPHAS)}]) AS alpha, 0.0::DOUBLE AS l1_ratio, {_N_TRAIN} AS n_train, true AS optimal""")
+def model_ridge_optimal(spark, sf):
+    return _optimal(spark, sf, "ridge")
+
+
+@query("model_elasticnet_optimal", f"""SELECT alpha, l1_ratio, {_N_TRAIN} AS n_train, true AS optimal FROM
+  (SELECT unnest([{", ".join(f"{a}::DOUBLE" for a in M.NET_ALPHAS)}]) AS alpha), (SELECT unnest([{", ".join(f"{a}::DOUBLE" for a in M.NET_RATIOS)}]) AS l1_ratio)""")
+def model_elasticnet_optimal(spark, sf):
+    return _optimal(spark, sf, "elasticnet")
+
+
+@query("prep_gram_folds", R.with_ctes(R.DATED) + """, long AS (SELECT raceId, driverId, raceId % 3 AS fold, unnest([
+    {'name': 'constructorId=' || constructorId, 'x': 1.0::DOUBLE}, {'name': 'grid', 'x': coalesce(CAST(grid AS DOUBLE), 0)},
+    {'name': 'laps', 'x': coalesce(CAST(laps AS DOUBLE), 0)}, {'name': 'rows', 'x': 1}, {'name': 'label', 'x': CAST(points AS DOUBLE)}], recursive := true) FROM dated)
+SELECT CAST(a.fold AS INT) AS fold, a.name AS a, b.name AS b, round(sum(a.x * b.x), 6) AS s FROM long a JOIN long b USING (raceId, driverId) GROUP BY ALL HAVING round(sum(a.x * b.x), 6) <> 0""")
+def prep_gram_folds(spark, sf):
+    """X'X, X'1 and X'y per fold, by the names of the slots."""
+    rows = R.dated(spark, sf).select("raceId", "driverId", "constructorId", F.coalesce(F.col("grid").cast("double"), F.lit(0.0)).alias("grid"),
+                                     F.coalesce(F.col("laps").cast("double"), F.lit(0.0)).alias("laps"), F.col("points").cast("double").alias("label"))
+    rows = materialise(rows.withColumn("fold", (F.col("raceId") % 3).cast("int")))
+    encoder = prep.fit_preprocessor(rows, ["constructorId"], ["grid", "laps"], kind="tree").stages[0]
+    sums = gram.gram(encoder.parts(rows, "indices", "values"), {f: (encoder.size, 2, 0.0) for f in range(3)})
+    names = encoder.table(spark).select(F.col("slot").cast("int").alias("i"), F.concat(F.lit("constructorId="), "value").alias("name")).unionByName(
+        spark.createDataFrame([(encoder.size - 2 + i, n) for i, n in enumerate(("grid", "laps", "rows", "label"))], "i int, name string"))
+    long = sums.select("fold", "i", F.posexplode("s").alias("j", "s")).where(F.round("s", 6) != 0)
+    return (long.join(names.select("i", F.col("name").alias("a")), "i").join(names.select(F.col("i").alias("j"), F.col("name").alias("b")), "j")
+            .select("fold", "a", "b", F.round("s", 6).alias("s")))
+
+
 _reg_query("model_rf_reg", "rf")
 _reg_query("model_gbt_reg", "gbt")
 
@@ -252,22 +314,49 @@ def prep_smote_between(spark, sf):
 
 @query("eval_grid_cv")
 def eval_grid_cv(spark, sf):
-    """Two linear candidates and the boosted trees over five stratified folds, by macro-F1."""
+    """Five candidates over five stratified folds by macro-F1, with minority rows made up
+    inside the folds for the linear ones and neighbours, and class weights where they are supported."""
     train, test = cls_sides(spark, sf)
     train = materialise(G.fold_stratified(train, IDS, "label", 5))
-    pool = [_candidate(M.classifiers(), n) for n in ("logreg", "linear_svc")]
-    table, _ = T.tournament(train.drop("fold"), test, T.stratified_splits(train, "fold", 5), pool,
-                            **{k: v for k, v in _CLS.items()})
+    pool = [_candidate(M.classifiers(), n) for n in ("logreg", "linear_svc", "knn", "rf", "gbt")]
+    table, _ = T.tournament(train.drop("fold"), test, T.stratified_splits(train, "fold", 5), pool, **{**_CLS, "use_smote": True})
     return T.leaderboard(table, "cv_f1_macro_mean", "cv_f1_macro_mean", ("train_f1_macro_mean", "cv_f1_macro_mean"))
 
 
+@query("eval_fold_counts", _CLS_SPLIT + """, folds AS (SELECT target_cls, (row_number() OVER (PARTITION BY target_cls ORDER BY md5(concat_ws('|', raceId, driverId, '42')), raceId, driverId) - 1) % 5 AS fold FROM train)
+SELECT CAST(p AS INT) AS point, CAST(f AS INT) AS fold, (SELECT count(*) FROM folds WHERE fold <> f) AS n_train, (SELECT count(*) FROM folds WHERE fold = f) AS n_valid,
+  (SELECT count(*) FROM folds WHERE fold = f AND target_cls = 1) AS n_positive FROM range(2) a(p), range(5) b(f)""")
+def eval_fold_counts(spark, sf):
+    """What the stacked evaluation of both points of a logistic regression counts in each fold."""
+    train, _ = cls_sides(spark, sf)
+    train = materialise(G.fold_stratified(train, IDS, "label", 5))
+    candidate = _candidate(M.classifiers(), "logreg")
+    frames, kept = {}, []
+    for f, split in enumerate(T.stratified_splits(train, "fold", 5)):
+        ready = T.Prepared(*split, candidate, seed=42, **_CLS)
+        kept.append(ready)
+        for i, params in enumerate(candidate.grid):
+            model = ready.model(candidate, params, 42)
+            frames[i, f, "train"], frames[i, f, "valid"] = model.transform(ready.train), model.transform(ready.valid)
+    counts = materialise(T._with_place(frames).groupBy("place", "label", "prediction").count())
+    for ready in kept:
+        ready.release()
+    places = spark.createDataFrame([(n, *key) for n, key in enumerate(frames)], "place int, point int, fold int, side string")
+    n, valid = F.col("count"), F.col("side") == "valid"
+    return counts.join(places, "place").groupBy("point", "fold").agg(
+        F.sum(F.when(~valid, n)).alias("n_train"), F.sum(F.when(valid, n)).alias("n_valid"),
+        F.sum(F.when(valid & (F.col("label") == 1), n)).alias("n_positive"))
+
+
 @query("eval_grid_cv_time")
 def eval_grid_cv_time(spark, sf):
-    """Ridge over expanding time folds of whole races, by R2, on a random 85 % of the training races."""
+    """The whole grids of ridge and elastic net over expanding time folds of whole races, by R2,
+    on a random 85 % of the training races."""
     train, test, _ = reg_sides(spark, sf)
     train = materialise(G.segment_train(train, sample_frac=0.85, min_races=25))
     folds = G.fold_time_series(train, 5)
-    table, _ = T.tournament(train, test, T.race_splits(train, folds, 5), [_candidate(M.regressors(), "ridge")], **_REG)
+    pool = [_candidate(M.regressors(), n) for n in ("ridge", "elasticnet")]
+    table, _ = T.tournament(train, test, T.race_splits(train, folds, 5), pool, **_REG)
     return table
 
 
