@@ -6,8 +6,9 @@ not the whole table is ever ordered inside one task, and nothing is collected.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -142,15 +143,57 @@ def fold_random(df: DataFrame, ids: Sequence[str], k: int = 5, seed: int = 42,
         name, F.col("__rank") % k).drop("__rank")
 
 
+def _level(loads: list[int], size: int, count: int) -> list[tuple[int, list[int]]]:
+    """Where ``count`` groups of one size go if each goes to the lightest fold (the first on
+    ties), as (rank of the first, folds in turn); ``loads`` are brought up to date.
+
+    A fold with ``lead`` whole sizes more than the lightest joins in after that many rounds.
+    """
+    k, low = len(loads), min(loads)
+    lead = [(x - low) // size for x in loads]
+    rest = [(x - low) % size for x in loads]
+    out, rank = [], 0
+    edges = [*sorted(set(lead)), None]
+    for round_, until in zip(edges, edges[1:]):
+        turn = sorted((f for f in range(k) if lead[f] <= round_), key=lambda f: (rest[f], f))
+        out.append((rank, turn))
+        here = count - rank if until is None else min(count - rank, (until - round_) * len(turn))
+        for i, f in enumerate(turn):
+            loads[f] += size * (here // len(turn) + (i < here % len(turn)))
+        rank += here
+        if rank >= count:
+            break
+    return out
+
+
+def _balance(k: int):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        loads = [0] * k
+        for frame in frames:
+            rows = []
+            for size, count in zip(frame["__rows"].tolist(), frame["groups"].tolist()):
+                parts = _level(loads, size, count)
+                rows.append((size, [{"start": r, "turn": t} for r, t in parts]))
+            yield pd.DataFrame(rows, columns=["size", "parts"])
+
+    return run
+
+
 def fold_group(df: DataFrame, group: str, k: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:
-    """Whole groups per fold: groups are dealt out in turn from the largest down.
-    Rows without a group are one group."""
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("__rows")).withColumn(
-        "__hash", hash_order(group, seed=seed))
-    dealt = prefix_scan(
-        sizes, order=["__hash", group],
-        slices=[-F.col("__rows"), F.substring("__hash", 1, HASH_DIGITS // 2)], count="__rank")
-    dealt = dealt.select(F.col(group).alias("__group"), (F.col("__rank") % k).alias(name))
+    """Whole groups per fold: from the largest down (hash order on ties), each goes to the lightest fold.
+    Rows without a group are one group.
+
+    Groups of one size are placed together, so the one pass in order sees a row per
+    distinct size: fewer than the square root of twice the rows.
+    """
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("__rows"))
+    ranked = hash_rank(sizes, [group], keys=["__rows"], name="__rank", seed=seed)
+    classes = sizes.groupBy("__rows").agg(F.count(F.lit(1)).alias("groups")).repartition(1).sortWithinPartitions(F.desc("__rows"))
+    placed = classes.mapInPandas(_balance(k), "size long, parts array<struct<start:long,turn:array<int>>>")
+    mine = F.element_at(F.filter("parts", lambda p: p["start"] <= F.col("__rank")), -1)
+    dealt = ranked.join(placed, F.col("__rows") == F.col("size")).withColumn("__part", mine).select(
+        F.col(group).alias("__group"),
+        F.get("__part.turn", ((F.col("__rank") - F.col("__part.start")) % F.size("__part.turn")).cast("int")).cast("bigint").alias(name))
     return df.join(dealt, F.col(group).eqNullSafe(F.col("__group"))).drop("__group")
 
 

@@ -93,9 +93,14 @@ def fold_random(spark, sf):
     return G.fold_random(R.dated(spark, sf).select(*IDS), IDS)
 
 
-@query("fold_group", _D + f""", g AS (SELECT raceId, count(*) AS n FROM dated GROUP BY 1)
-, k AS (SELECT raceId, (row_number() OVER (ORDER BY n DESC, {_HR}, raceId) - 1) % 5 AS fold FROM g)
-SELECT raceId, driverId, fold FROM dated JOIN k USING (raceId)""")
+_PLACE = "list_position(w.loads, list_min(w.loads))"
+
+
+@query("fold_group", _D.replace("WITH ", "WITH RECURSIVE ", 1) + f""", g AS (SELECT raceId, count(*) AS n FROM dated GROUP BY 1)
+, o AS MATERIALIZED (SELECT raceId, n, row_number() OVER (ORDER BY n DESC, {_HR}, raceId) AS i FROM g)
+, walk AS (SELECT 0::BIGINT AS i, [0, 0, 0, 0, 0]::BIGINT[] AS loads, -1::BIGINT AS fold
+  UNION ALL SELECT o.i, list_transform(w.loads, lambda x, j: CASE WHEN j = {_PLACE} THEN x + o.n ELSE x END), {_PLACE} - 1 FROM walk w JOIN o ON o.i = w.i + 1)
+SELECT d.raceId, d.driverId, fold FROM dated d JOIN o USING (raceId) JOIN walk ON walk.i = o.i""")
 def fold_group(spark, sf):
     return G.fold_group(R.dated(spark, sf).select(*IDS), "raceId").select(*IDS, "fold")
 
