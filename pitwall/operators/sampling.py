@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from pitwall.functions.scalars import hash_order
 from pitwall.operators.quantiles import scalar_of
-from pitwall.operators.scan import HASH_DIGITS, hash_rank, prefix_scan
+from pitwall.operators.scan import cut_slices, hash_rank, prefix_scan
+from pitwall.session import ROWS_PER_TASK
 
 RACE_ORDER = ["year", "round", "raceId"]
 
@@ -61,11 +62,13 @@ def races_of(df: DataFrame) -> DataFrame:
     return df.select(*RACE_ORDER).distinct()
 
 
-def race_positions(df: DataFrame, *, recent_first: bool = False, name: str = "pos",
-                   sums: dict | None = None, races: DataFrame | None = None) -> DataFrame:
-    """Races with their 0-based place in time; the calendar slots are the slices."""
-    return prefix_scan(races_of(df) if races is None else races, order=["raceId"],
-                       slices=["year", "round"], count=name, sums=sums, descending=recent_first)
+def race_positions(df: DataFrame, *, recent_first: bool = False, name: str = "pos", sums: dict | None = None,
+                   races: DataFrame | None = None, rows_per_slice: int = ROWS_PER_TASK) -> DataFrame:
+    """Races with their 0-based place in time.  The calendar slots are the slices; a slot
+    of more than ``rows_per_slice`` races is cut by measured splitters."""
+    cut = cut_slices(races_of(df) if races is None else races, ["year", "round"], "raceId", name="__cut", rows_per_slice=rows_per_slice)
+    return prefix_scan(cut, order=["raceId"], slices=["year", "round", "__cut"], count=name, sums=sums,
+                       descending=recent_first).drop("__cut")
 
 
 def keep_races(df: DataFrame, races: DataFrame) -> DataFrame:

@@ -116,6 +116,24 @@ def value_slices(df: DataFrame, column: str, *, name: str,
     return cut.withColumn(name, F.when(F.col(column).isNull(), F.lit(-1.0)).otherwise(F.col(name)))
 
 
+def cut_slices(df: DataFrame, slots: Sequence[str], order: str, *, name: str,
+               rows_per_slice: int = ROWS_PER_TASK, pieces: int = 256) -> DataFrame:
+    """Add a number that cuts slots of more than ``rows_per_slice`` rows along ``order``.
+
+    Slots are counted first; only the large ones are sketched for their splitters, of
+    which there are ``pieces`` - 1 in each.  The number is 0 in all other slots and grows
+    with ``order``, so (slots, number) are slices for ``prefix_scan``.
+    """
+    large = df.groupBy(*slots).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows_per_slice)
+    large = large.select(*[F.col(c).alias(f"__of_{c}") for c in slots])
+    same = [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in slots]
+    shares = [i / pieces for i in range(1, pieces)]
+    edges = df.join(large, same, "left_semi").groupBy(*[F.col(c).alias(f"__of_{c}") for c in slots]).agg(
+        F.percentile_approx(order, shares, 10 * pieces).alias("__edges"))
+    cut = F.size(F.filter(F.coalesce("__edges", F.array()), lambda e: e < F.col(order)))
+    return df.join(edges, same, "left").withColumn(name, F.coalesce(cut, F.lit(0))).drop("__edges", *[f"__of_{c}" for c in slots])
+
+
 def group_sizes(df: DataFrame, keys: Sequence[str] = (), limit: int = ROWS_PER_TASK) -> dict[str, int]:
     """Total rows (under "") and rows of the largest group of each key.
 

@@ -18,8 +18,8 @@ from pitwall.operators.columns import numeric_columns
 from pitwall.operators.contracts import require_columns
 from pitwall.operators.quantiles import global_stats, grouped_agg, scalar_of
 from pitwall.operators.sampling import RACE_ORDER
-from pitwall.operators.scan import group_sizes, prefix_scan
-from pitwall.session import materialise
+from pitwall.operators.scan import cut_slices, group_sizes, prefix_scan
+from pitwall.session import ROWS_PER_TASK, materialise
 
 # The output lists of the builders.
 BASE_FEATURES = ["grid", "year", "round", "circuitId", "driverId", "constructorId", "raceId"]
@@ -298,11 +298,13 @@ def baseline_residual(df: DataFrame, row_key: str = "rowId", sizes: Sizes = None
         F.col("target_reg") - F.col("circuit_baseline_pace"), F.lit(0.0)))
 
 
-def season_trend(df: DataFrame) -> DataFrame:
-    """One row per race: mean of the season's earlier race means, pace and residual."""
+def season_trend(df: DataFrame, rows_per_slice: int = ROWS_PER_TASK) -> DataFrame:
+    """One row per race: mean of the season's earlier race means, pace and residual.
+    Rounds of more than ``rows_per_slice`` races are cut by measured splitters."""
     races = df.groupBy(*RACE_ORDER).agg(F.avg("target_reg").alias("race_mean_pace"),
                                         F.avg("target_resid").alias("race_mean_resid"))
-    placed = prefix_scan(races, keys=["year"], order=["raceId"], slices=["round"], count="__n",
+    cut = cut_slices(races, ["year", "round"], "raceId", name="__cut", rows_per_slice=rows_per_slice)
+    placed = prefix_scan(cut, keys=["year"], order=["raceId"], slices=["round", "__cut"], count="__n",
                          sums={"__pace": "race_mean_pace", "__resid": "race_mean_resid"})
     n = F.nullif(F.col("__n"), F.lit(0))
     mean = df.agg(F.avg("target_reg").alias("m")).scalar()
