@@ -14,8 +14,8 @@ from pitwall.llm.queries import SURROGATE_KEY
 from pitwall.session import materialise
 
 
-#: Rows of an Arrow batch in the stages: some megabytes of text, so that Python workers stay small.
-BATCH_ROWS = 2000
+#: Rows of an Arrow batch in the stages: a megabyte or two of text, so that Python workers stay small.
+BATCH_ROWS = 500
 
 
 def _small_batches(spark: SparkSession) -> None:
