@@ -314,23 +314,22 @@ def prep_smote_between(spark, sf):
 
 @query("eval_grid_cv")
 def eval_grid_cv(spark, sf):
-    """Five candidates over five stratified folds by macro-F1, with minority rows made up
-    inside the folds for the linear ones and neighbours, and class weights where they are supported."""
+    """The two linear candidates over five stratified folds, by macro-F1."""
     train, test = cls_sides(spark, sf)
     train = materialise(G.fold_stratified(train, IDS, "label", 5))
-    pool = [_candidate(M.classifiers(), n) for n in ("logreg", "linear_svc", "knn", "rf", "gbt")]
-    table, _ = T.tournament(train.drop("fold"), test, T.stratified_splits(train, "fold", 5), pool, **{**_CLS, "use_smote": True})
+    pool = [_candidate(M.classifiers(), n) for n in ("logreg", "linear_svc")]
+    table, _ = T.tournament(train.drop("fold"), test, T.stratified_splits(train, "fold", 5), pool, **_CLS)
     return T.leaderboard(table, "cv_f1_macro_mean", "cv_f1_macro_mean", ("train_f1_macro_mean", "cv_f1_macro_mean"))
 
 
 @query("eval_fold_counts", _CLS_SPLIT + """, folds AS (SELECT target_cls, (row_number() OVER (PARTITION BY target_cls ORDER BY md5(concat_ws('|', raceId, driverId, '42')), raceId, driverId) - 1) % 5 AS fold FROM train)
 SELECT CAST(p AS INT) AS point, CAST(f AS INT) AS fold, (SELECT count(*) FROM folds WHERE fold <> f) AS n_train, (SELECT count(*) FROM folds WHERE fold = f) AS n_valid,
-  (SELECT count(*) FROM folds WHERE fold = f AND target_cls = 1) AS n_positive FROM range(2) a(p), range(5) b(f)""")
+  (SELECT count(*) FROM folds WHERE fold = f AND target_cls = 1) AS n_positive FROM range(1) a(p), range(5) b(f)""")
 def eval_fold_counts(spark, sf):
-    """What the stacked evaluation of both points of a logistic regression counts in each fold."""
+    """What the stacked evaluation of a linear SVC counts in each fold."""
     train, _ = cls_sides(spark, sf)
     train = materialise(G.fold_stratified(train, IDS, "label", 5))
-    candidate = _candidate(M.classifiers(), "logreg")
+    candidate = _candidate(M.classifiers(), "linear_svc")
     frames, kept = {}, []
     for f, split in enumerate(T.stratified_splits(train, "fold", 5)):
         ready = T.Prepared(*split, candidate, seed=42, **_CLS)
