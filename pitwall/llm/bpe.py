@@ -6,6 +6,9 @@ ends with a token that may stand before it; two tokens may stand side by side if
 no merge over their border would have come first.  The table makes appends exact
 (old entries never change) and lets an edit be re-encoded up to where the table
 agrees with the old one again.
+
+Short pieces of many texts fill their tables together, byte by byte
+(``prefix_steps``); long ones, appends and edits do so one at a time.
 """
 
 from __future__ import annotations
@@ -20,13 +23,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from pitwall.llm.chunks import ChunkTable
+from pitwall.llm.chunks import gather, ids_of_texts, numbered
+from pitwall.llm.prefix_steps import PrefixSteps
 
 NEVER = 1 << 62
 #: Bytes of a piece whose table is shared with other pieces that begin alike.
 HEAD = 8
 #: Characters beyond a match's end that the split pattern may look at.
 LOOK_AHEAD = 4
+#: Bytes up to which a piece is encoded together with others.
+SHORT = 64
+#: Characters of the texts that are encoded together, and pieces whose tables are filled together.
+TEXT_BLOCK, PIECE_BLOCK = 4_000_000, 50_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -57,12 +65,13 @@ class PrefixBpe:
             self.suffixes.add_word(token.decode("latin-1"), (i, len(token)))
         self.suffixes.make_automaton()
         self._edges: dict[bytes, tuple | None] = {}
+        self._made_of: dict[bytes, tuple | None] = {}
         self._pairs: dict[int, bool] = {}
         self._pieces: dict[str, tuple[int, ...]] = {}
         self._old: dict[str, tuple[int, ...]] = {}
         self._heads: dict[bytes, list[int]] = {}
         self._size = pieces
-        self._chunks = ChunkTable(self._chunk, 3 * pieces)
+        self._steps: PrefixSteps | None = None
 
     def _halves(self, token: bytes) -> tuple[bytes, bytes] | None:
         """The two tokens whose merge makes ``token``; None if merges never make it."""
@@ -82,7 +91,7 @@ class PrefixBpe:
             return known
         result: tuple | None = ([(token, NEVER)], [(token, NEVER)])
         if len(token) > 1:
-            halves = self._halves(token)
+            halves = self._made_of[token] = self._halves(token)
             ends = halves and [self._borders(h) for h in halves]
             if not ends or None in ends:
                 result = None
@@ -162,12 +171,79 @@ class PrefixBpe:
                 self._pieces[text] = known
         return known
 
-    def _chunk(self, text: str) -> Iterable[int]:
-        pieces = self.split.findall(text)
-        return self.piece(pieces[0]) if len(pieces) == 1 else [i for piece in pieces for i in self.piece(piece)]
+    def _together(self) -> PrefixSteps:
+        if self._steps is None:
+            ids = sorted(self.bytes_of)
+            tokens = [self.bytes_of[i] for i in ids]
+            place, halves = {t: n for n, t in enumerate(tokens)}, np.full((len(tokens), 2), -1)
+            for n, token in enumerate(tokens):
+                if len(token) > 1:
+                    made = self._borders(token) and self._made_of[token]
+                    halves[n] = [place[h] for h in made] if made else -2
+            self._ids = np.array(ids, dtype=np.int32)
+            self._steps = PrefixSteps(tokens, halves)
+        return self._steps
+
+    def _pieces_ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces one after another, number of ids of each)."""
+        sizes = np.array([len(p) for p in pieces])
+        steps, flats, counts = self._together(), [], []
+        for at in range(0, len(pieces), PIECE_BLOCK):
+            block = pieces[at:at + PIECE_BLOCK]
+            # a piece that is itself in the vocabulary is its own token, whatever its merges
+            known = [self.ranks.get(p) for p in block]
+            single = {n: [i] for n, i in enumerate(known) if i is not None}
+            for n in np.flatnonzero(sizes[at:at + PIECE_BLOCK] > SHORT).tolist():
+                if n not in single:
+                    self.extend(block[n], last := [])
+                    single[n] = self.walk_back(last)
+            rest = [n for n in range(len(block)) if n not in single]
+            flat, count = steps.encode([block[n] for n in rest])
+            flat, size, alone = self._ids[flat], np.zeros(len(block), np.int64), list(single)
+            size[rest] = count
+            size[alone] = [len(single[n]) for n in alone]
+            ends, out = np.cumsum(size), np.empty(int(size.sum()), np.int32)
+            own = np.zeros(len(block), bool)
+            own[rest] = True
+            of = np.repeat(own, size)
+            out[of] = flat
+            out[~of] = np.fromiter((i for n in sorted(alone) for i in single[n]), np.int32)
+            flats.append(out)
+            counts.append(size)
+        if not flats:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        return np.concatenate(flats), np.concatenate(counts)
+
+    def _chunks_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for chunks of text.  Chunks are split together as long as each ends
+        visibly and the next begins with a space: matches end there."""
+        pieces, begin = [], 0
+        for i in range(1, len(chunks) + 1):
+            if i == len(chunks) or not chunks[i].startswith(" ") or not chunks[i - 1] or chunks[i - 1][-1].isspace():
+                pieces += self.split.findall("".join(chunks[begin:i]))
+                begin = i
+        code = numbered(pieces)
+        flat, sizes = self._pieces_ids([p.encode("utf-8", "replace") for p in code])
+        ids, ends = gather(flat, sizes, np.fromiter(map(code.__getitem__, pieces), np.int64, len(pieces)))
+        piece_ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        chunk_ends = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
+        whole = np.searchsorted(piece_ends, chunk_ends, side="right")  # pieces up to each chunk's end
+        return ids, np.diff(np.concatenate([[0], ends])[whole], prepend=0)
+
+    def encode_texts(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; a block of texts at a time is held beside them."""
+        out, block, held = [], [], 0
+        for i, text in enumerate(texts):
+            block.append(text)
+            held += len(text)
+            if held >= TEXT_BLOCK or i + 1 == len(texts):
+                flat, sizes = ids_of_texts(block, self._chunks_ids)
+                out += np.split(flat, np.cumsum(sizes)[:-1])
+                block, held = [], 0
+        return out
 
     def encode(self, text: str) -> np.ndarray:
-        return self._chunks.ids(text)
+        return self.encode_texts([text])[0]
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of the ids' tokens, gathered from one array of all tokens."""
@@ -262,14 +338,15 @@ def load(path: str, pattern: str) -> PrefixBpe:
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """``docs`` with the column ``ids`` (in place of any such column): token ids of
-    the whole text, without special tokens.  NULL and empty texts have no ids."""
+    the whole text, without special tokens.  NULL and empty texts have no ids.
+    ``pattern`` must never join a visible character with a following space."""
     kept = docs.drop("ids")
     schema = T.StructType([*kept.schema, T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path, pattern)
         for batch in batches:
-            found = [bpe.encode(t.as_py() or "") for t in batch.column(text)]
+            found = bpe.encode_texts([t or "" for t in batch.column(text).to_pylist()])
             ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
             flat = np.concatenate(found) if found else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],

@@ -1,49 +1,57 @@
-"""Token ids of whole texts through a bounded table of already encoded chunks.
+"""Texts cut into chunks whose token ids do not depend on each other.
 
-The pattern that splits text before the merges never joins a visible character
-with a following space.  A text may therefore be cut before each single space
-that stands between visible characters, and equal chunks have equal ids.
+A byte-level split pattern never joins a visible character with a following
+space.  A text may therefore be cut before each single space that stands between
+visible characters, and equal chunks have equal ids.
 """
 
 from __future__ import annotations
 
 import re
-from array import array
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
+from itertools import chain
 
 import numpy as np
 
-#: A space inside or at the end of a run of white space: such a text is one chunk.
-_RUN = re.compile(r"\s \s|\s \Z|\A \s| \Z")
-
-
-class ChunkTable:
-    """``encode(chunk) -> ids`` remembered for up to ``size`` chunks.  A half-full
-    table becomes the old one, from which chunks still in use are taken over; that
-    changes the speed only."""
-
-    def __init__(self, encode: Callable[[str], Iterable[int]], size: int = 240_000):
-        self._encode, self._size = encode, size
-        self._known: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
-
-    def _packed(self, chunk: str) -> bytes:
-        return array("i", self._encode(chunk)).tobytes()
-
-    def ids(self, text: str) -> np.ndarray:
-        """The ids of the whole text as 32-bit integers."""
-        if _RUN.search(text):
-            return np.frombuffer(self._packed(text), dtype=np.int32)
-        first, *rest = text.split(" ")
-        known = self._known
-        if 2 * len(known) >= self._size:
-            self._old, self._known = known, (known := {})
-        found = list(map(known.get, rest))
-        if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
-                    part = rest[i]
-                    found[i] = known.get(part) or self._old.get(part) or self._packed(" " + part)
-                    if len(part) <= 256:
-                        known[part] = found[i]
-        return np.frombuffer(b"".join([self._packed(first), *found]), dtype=np.int32)
+#: A single space between visible characters; the chunk after it begins with it.
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+
+
+def numbered(items: Iterable[str]) -> dict[str, int]:
+    """The distinct items, numbered in order."""
+    distinct = dict.fromkeys(items)
+    return dict(zip(distinct, range(len(distinct))))
+
+
+def gather(flat: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs that ``codes`` name, one after another, and where each of them ends."""
+    lengths = sizes[codes]
+    ends = np.cumsum(lengths)
+    starts = (np.cumsum(sizes) - sizes)[codes]
+    return flat[np.repeat(starts - ends + lengths, lengths) + np.arange(int(lengths.sum()))], ends
+
+
+def _open(chunk: str) -> bool:
+    """Whether white space stands at an end of the chunk, so that it was cut in a run."""
+    return not chunk or chunk[0].isspace() or chunk[-1].isspace()
+
+
+def ids_of_texts(texts: Sequence[str], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts one after another, number of ids of each text).
+
+    ``encode`` gives the same for a list of chunks; it sees each of the chunks
+    that later spaces begin only once.
+    """
+    parts = [text.split(" ") for text in texts]
+    wrong = {c for c in dict.fromkeys(chain.from_iterable(parts)) if _open(c)}
+    if wrong:
+        parts = [part if wrong.isdisjoint(part) else _CUT.split(text) for part, text in zip(parts, texts)]
+    firsts = [part[0] for part in parts]
+    code = numbered(chain.from_iterable(part[1:] for part in parts))
+    flat, sizes = encode([" " + c for c in code] + firsts)
+    first_code = range(len(code), len(code) + len(firsts))
+    counts = np.array([len(part) for part in parts], dtype=np.int64)
+    codes = np.fromiter(chain.from_iterable(chain((n,), map(code.__getitem__, part[1:])) for n, part in zip(first_code, parts)),
+                        np.int64, int(counts.sum()))
+    ids, ends = gather(flat, sizes, codes)
+    return ids, np.diff(ends[np.cumsum(counts) - 1], prepend=0)

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -38,6 +39,25 @@ def _library():
     return _known[0]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.text(alphabet="ab  \n\u00a0\x1c'sé日.", max_size=30), st.just("x" * 70 + "ing")), max_size=6))
+def test_texts_together(texts):
+    own = B.load(PATH, P.PATTERN)
+    assert [ids.tolist() for ids in own.encode_texts(texts)] == [_library().encode_ordinary(t) for t in texts]
+
+
+def test_steps_agree_with_single_tables(both):
+    own, rng = both[0], random.Random(8)
+    ids, steps = sorted(own.bytes_of), both[0]._together()
+    pairs = [(rng.randrange(3000), rng.randrange(3000)) for _ in range(20_000)]
+    a, b = np.array(pairs).T
+    want = [own.may_follow(ids[x], ids[y]) for x, y in pairs]
+    assert steps.may_follow(a, b).tolist() == steps.may_follow(a, b).tolist() == want and len(set(want)) == 2
+    pieces = [bytes(rng.choice(b"aeinrst ") for _ in range(rng.randrange(1, 60))) for _ in range(2000)]
+    flat, sizes = steps.encode(pieces)
+    assert own._ids[flat].tolist() == [i for p in pieces for i in B.PrefixTable(own, p).ids()] and len(sizes) == 2000
+
+
 def test_appends_and_edits(both):
     own, other = both
     rng = random.Random(5)
