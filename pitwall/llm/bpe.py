@@ -20,6 +20,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -34,7 +35,7 @@ LOOK_AHEAD = 4
 #: Bytes up to which a piece is encoded together with others.
 SHORT = 64
 #: Characters of the texts that are encoded together, and pieces whose tables are filled together.
-TEXT_BLOCK, PIECE_BLOCK = 4_000_000, 50_000
+TEXT_BLOCK, PIECE_BLOCK = 2_000_000, 50_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -47,7 +48,6 @@ class PrefixBpe:
     """Encodes and decodes by the ranks and the split pattern of a vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, pieces: int = 150_000):
-        import ahocorasick
         import regex
 
         self.ranks = ranks
@@ -60,12 +60,7 @@ class PrefixBpe:
             self._sizes[i] = len(token)
         self._starts = np.cumsum(self._sizes) - self._sizes
         self._bytes = np.frombuffer(b"".join(b for _, b in sorted(self.bytes_of.items())), dtype=np.uint8)
-        self.suffixes = ahocorasick.Automaton()  # finds all tokens that end at a byte; bytes stand as Latin-1
-        for token, i in ranks.items():
-            self.suffixes.add_word(token.decode("latin-1"), (i, len(token)))
-        self.suffixes.make_automaton()
         self._edges: dict[bytes, tuple | None] = {}
-        self._made_of: dict[bytes, tuple | None] = {}
         self._pairs: dict[int, bool] = {}
         self._pieces: dict[str, tuple[int, ...]] = {}
         self._old: dict[str, tuple[int, ...]] = {}
@@ -73,6 +68,17 @@ class PrefixBpe:
         self._size = pieces
         self._steps: PrefixSteps | None = None
 
+    @functools.cached_property
+    def suffixes(self):
+        """Finds all tokens that end at a byte; bytes stand as Latin-1."""
+        import ahocorasick
+
+        found = ahocorasick.Automaton()
+        for token, i in self.ranks.items():
+            found.add_word(token.decode("latin-1"), (i, len(token)))
+        found.make_automaton()
+        return found
+
     def _halves(self, token: bytes) -> tuple[bytes, bytes] | None:
         """The two tokens whose merge makes ``token``; None if merges never make it."""
         own, parts = self.ranks[token], [token[i:i + 1] for i in range(len(token))]
@@ -91,7 +97,7 @@ class PrefixBpe:
             return known
         result: tuple | None = ([(token, NEVER)], [(token, NEVER)])
         if len(token) > 1:
-            halves = self._made_of[token] = self._halves(token)
+            halves = self._halves(token)
             ends = halves and [self._borders(h) for h in halves]
             if not ends or None in ends:
                 result = None
@@ -176,10 +182,11 @@ class PrefixBpe:
             ids = sorted(self.bytes_of)
             tokens = [self.bytes_of[i] for i in ids]
             place, halves = {t: n for n, t in enumerate(tokens)}, np.full((len(tokens), 2), -1)
-            for n, token in enumerate(tokens):
+            for n, token in enumerate(tokens):  # by rank, so both halves come before
                 if len(token) > 1:
-                    made = self._borders(token) and self._made_of[token]
-                    halves[n] = [place[h] for h in made] if made else -2
+                    made = self._halves(token)
+                    at = [place[h] for h in made] if made else [-2]
+                    halves[n] = -2 if made is None or -2 in halves[at] else at
             self._ids = np.array(ids, dtype=np.int32)
             self._steps = PrefixSteps(tokens, halves)
         return self._steps
@@ -336,6 +343,17 @@ def load(path: str, pattern: str) -> PrefixBpe:
     return PrefixBpe(read_ranks(path), pattern)
 
 
+def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts hold about ``TEXT_BLOCK`` bytes, and at least one row."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        block = (np.cumsum(sizes) - sizes) // TEXT_BLOCK
+        borders = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+        for begin, end in zip(borders, borders[1:]):
+            if end > begin:
+                yield batch.slice(begin, end - begin)
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """``docs`` with the column ``ids`` (in place of any such column): token ids of
     the whole text, without special tokens.  NULL and empty texts have no ids.
@@ -345,7 +363,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path, pattern)
-        for batch in batches:
+        for batch in slices(batches, text):
             found = bpe.encode_texts([t or "" for t in batch.column(text).to_pylist()])
             ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
             flat = np.concatenate(found) if found else np.zeros(0, np.int32)

@@ -13,7 +13,7 @@ NEVER = 1 << 40
 #: An odd factor that spreads keys over the slots of a table.
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 #: Slots (powers of two) of the table of pairs that were already judged.
-JUDGED = 20
+JUDGED = 18
 
 
 class _Automaton:
@@ -139,7 +139,7 @@ class PrefixSteps:
         data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
         starts = (np.cumsum(lengths := np.array([len(p) for p in pieces], dtype=np.int64)) - lengths)[order]
         longest = int(sizes[0]) if len(sizes) else 0
-        last = np.full((longest, len(pieces)), -1, np.int64)
+        last = np.full((longest, len(pieces)), -1, np.int32)
         state = np.zeros(len(pieces), np.int64)
         machine = self.automaton
         for step in range(longest):
@@ -153,7 +153,7 @@ class PrefixSteps:
                 whole = before < 0
                 fits = self.made[token]
                 inner = np.flatnonzero(~whole)
-                fits[inner] = self.may_follow(last[before[inner], at[inner]], token[inner])
+                fits[inner] = self.may_follow(last[before[inner], at[inner]].astype(np.int64), token[inner])
                 last[step, at[fits]] = token[fits]
                 at, token = at[~fits], machine.shorter[token[~fits]].astype(np.int64)
         return self._walk_back(last, sizes, order)
@@ -162,7 +162,7 @@ class PrefixSteps:
         at, end, rounds = np.arange(len(sizes)), sizes.copy(), []
         counts = np.zeros(len(sizes), np.int64)
         while len(at := at[end[at] > 0]):
-            token = last[end[at] - 1, at]
+            token = last[end[at] - 1, at].astype(np.int64)
             end[at] -= self.sizes[token]
             counts[at] += 1
             rounds.append((at, token))
