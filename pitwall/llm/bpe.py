@@ -354,38 +354,58 @@ def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
                 yield batch.slice(begin, end - begin)
 
 
+def _with_ids(bpe: PrefixBpe, batch: pa.RecordBatch, text: str) -> pa.RecordBatch:
+    found = bpe.encode_texts([t or "" for t in batch.column(text).to_pylist()])
+    ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+    flat = np.concatenate(found) if found else np.zeros(0, np.int32)
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                                      names=[*batch.schema.names, "ids"])
+
+
+def _with_bytes(bpe: PrefixBpe, batch: pa.RecordBatch, ids: str) -> pa.RecordBatch:
+    lists = batch.column(ids)
+    decoded = [bpe.decode(lists[i].values.to_numpy()) if lists[i].is_valid else None for i in range(len(lists))]
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], names=[*batch.schema.names, "decoded"])
+
+
+IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
+DECODED = T.StructField("decoded", T.BinaryType())
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """``docs`` with the column ``ids`` (in place of any such column): token ids of
     the whole text, without special tokens.  NULL and empty texts have no ids.
     ``pattern`` must never join a visible character with a following space."""
     kept = docs.drop("ids")
-    schema = T.StructType([*kept.schema, T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path, pattern)
         for batch in slices(batches, text):
-            found = bpe.encode_texts([t or "" for t in batch.column(text).to_pylist()])
-            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-            flat = np.concatenate(found) if found else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                                             names=[*batch.schema.names, "ids"])
+            yield _with_ids(bpe, batch, text)
 
-    return kept.mapInArrow(add, schema)
+    return kept.mapInArrow(add, T.StructType([*kept.schema, IDS]))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
     """``encoded`` with the column ``decoded`` (in place of any such column): the
     bytes that the ids stand for; NULL ids give NULL."""
     kept = encoded.drop("decoded")
-    schema = T.StructType([*kept.schema, T.StructField("decoded", T.BinaryType())])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path, pattern)
         for batch in batches:
-            lists = batch.column(ids)
-            decoded = [None if x is None else bpe.decode(x) for x in (
-                lists[i].values.to_numpy() if lists[i].is_valid else None for i in range(len(lists)))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())],
-                                             names=[*batch.schema.names, "decoded"])
+            yield _with_bytes(bpe, batch, ids)
+
+    return kept.mapInArrow(add, T.StructType([*kept.schema, DECODED]))
+
+
+def encode_and_decode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one pass, so that a task needs one Python worker."""
+    kept = docs.drop("ids", "decoded")
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = load(path, pattern)
+        for batch in slices(batches, text):
+            yield _with_bytes(bpe, _with_ids(bpe, batch, text), "ids")
 
-    return kept.mapInArrow(add, schema)
+    return kept.mapInArrow(add, T.StructType([*kept.schema, IDS, DECODED]))

@@ -65,8 +65,8 @@ def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_bpe_prefix_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    coded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), *vocabulary), *vocabulary)
+    coded = bpe.encode_and_decode(_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                  public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -93,6 +93,7 @@ def test_documents_and_odd_rows(spark, sf, both):
     got = B.decode(B.encode(odd, PATH, P.PATTERN), PATH, P.PATTERN).collect()
     for r in got:
         assert r["ids"] == both[1].encode_ordinary(r["text"] or "") and bytes(r["decoded"]) == (r["text"] or "").encode()
+    assert sorted(map(str, B.encode_and_decode(odd.withColumn("ids", odd["text"]), PATH, P.PATTERN).collect())) == sorted(map(str, got))
     assert B.encode(odd.limit(0), PATH, P.PATTERN).count() == 0
     result = QUERIES["op7_bpe_prefix_tables"](spark, sf)
     assert result.count() == docs.count() and result.columns[:4] == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
