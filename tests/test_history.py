@@ -116,3 +116,10 @@ def test_value_slices_grow_with_the_value(spark, cars):
     rows = value_slices(cars.where("x is not null"), "x", name="s", rows_per_slice=50).select("x", "s").collect()
     ordered = [r["s"] for r in sorted(rows, key=lambda r: r["x"])]
     assert ordered == sorted(ordered) and len(set(ordered)) > 4
+
+
+def test_slices_follow_the_rows_not_the_calendar(spark):
+    """A key with one row a day had a slice, its halo and a value table for each day."""
+    days = spark.range(400).select(F.lit(1).alias("k"), (F.col("id") / 100).cast("int").alias("year"), F.col("id").cast("int").alias("round"))
+    cut = H.slice_numbers(days, ["k"], ["year", "round"], 150).groupBy("__cut").agg(F.count(F.lit(1)).alias("n"), F.min("round").alias("a"), F.max("round").alias("b"))
+    assert [(r["n"], r["a"], r["b"]) for r in cut.orderBy("__cut").collect()] == [(150, 0, 149), (150, 150, 299), (100, 300, 399)]
