@@ -1,5 +1,6 @@
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from pitwall.models import dictionary as D
@@ -52,3 +53,9 @@ def test_no_category_is_frequent(spark):
     train = spark.createDataFrame([("a",), ("b",)], "driverId string")
     out = prep.fit_preprocessor(train, ["driverId"], [], min_frequency=10).transform(train)
     assert [r["features"].toArray().tolist() for r in out.collect()] == [[1.0], [1.0]]
+
+
+def test_sparse_parts_cost_what_is_set(spark):
+    """As a dense array this vector would take 16 GB."""
+    df = spark.createDataFrame([(Vectors.sparse(2_000_000_000, [5, 1_999_999_999], [1.0, 2.5]),)], ["features"])
+    assert tuple(df.select(D.sparse_parts("features").alias("p")).first()["p"]) == (2_000_000_000, [5, 1_999_999_999], [1.0, 2.5])
