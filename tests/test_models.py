@@ -169,3 +169,14 @@ def test_log_target_and_target_mode(spark):
     assert residual and [r["y"] for r in rows.collect()] == [-2.0, 1.0] and "target_reg" not in rows.columns
     with pytest.raises(ValueError):
         prep.choose_target(df, "other")
+
+
+def test_class_weights_shuffle_no_class(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = prep.class_weights(spark.range(40).select("id", (F.col("id") % 4 == 0).cast("int").alias("label")), "label")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert {(r["label"], round(r["weight"], 9)) for r in out.collect()} == {(0, round(40 / 60, 9)), (1, 2.0)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
