@@ -49,3 +49,12 @@ def test_narrowed_brackets_are_exact(spark, by):
 
 def test_passes_grow_with_the_logarithm_of_the_rows():
     assert [Q.narrowing_passes(n, Q.MIN_ACCURACY, Q.BRACKET_ROWS) for n in (10**6, 10**9, 10**11, 10**13)] == [0, 0, 1, 2]
+
+
+def test_small_groups_meet_before_their_value_tables(spark):
+    """Pieces of small groups in every task used to be shuffled as a value table each."""
+    df = spark.range(3000).repartition(6).select((F.col("id") % 900).alias("g"), F.col("id").cast("double").alias("v"))
+    out = Q.grouped_agg(df, ["g"], [F.count("v").alias("n")], {"m": ("v", 0.5)}, sizes={"": 3000})
+    plan = out._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.index("partial_percentile") < plan.index("Exchange hashpartitioning(g")  # printed from the result down
+    assert {(r["n"], r["m"] - r["g"]) for r in out.where("g < 300").collect()} == {(4, 1350.0)}
