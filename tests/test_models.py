@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pitwall.evaluation import clusters as CL
 from pitwall.evaluation import tournament as T
+from pitwall.models.blocks import block_pairs
 from pitwall.models import clustering as C
 from pitwall.models import estimators as M
 from pitwall.models import neighbors as NN
@@ -180,3 +181,14 @@ def test_class_weights_shuffle_no_class(spark):
         assert {(r["label"], round(r["weight"], 9)) for r in out.collect()} == {(0, round(40 / 60, 9)), (1, 2.0)}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_silhouette_sends_rows_to_few_blocks(spark, monkeypatch):
+    """Blocks grow with the table, and a block's distances are taken in chunks."""
+    asked = []
+    monkeypatch.setattr(CL, "block_pairs", lambda *a: asked.append(a[-1]) or block_pairs(*a))
+    monkeypatch.setattr(CL, "CHUNK_ROWS", 7)
+    monkeypatch.setattr(CL, "BLOCK_ROWS", 10)
+    rows = spark.range(400).select("id", F.array(F.col("id") % 17 / 3, F.col("id") % 5 + 0.0).alias("x"), (F.col("id") % 3).alias("c"))
+    wide = CL.silhouette_exact(rows, "id", "x", "c").first()[0]
+    assert asked == [25] and wide == pytest.approx(CL.silhouette_exact(rows, "id", "x", "c", 400).first()[0], abs=1e-12)
