@@ -6,6 +6,7 @@ from pitwall.evaluation import tournament as T
 from pitwall.models import estimators as M
 from pitwall.models import gram as G
 from pitwall.models import prep
+from pitwall.models import wide as W
 
 
 @pytest.fixture(scope="module")
@@ -89,3 +90,29 @@ def test_too_many_slots(spark, cars_rows, monkeypatch):
     assert T.gram_search(splits(cars_rows), [candidate], categories=["driverId"], numbers=["grid"]) is None
     with pytest.raises(ValueError):
         G.gram(cars_rows.withColumns({"indices": F.array(F.lit(0)), "values": F.array(F.lit(1.0))}), {0: (9, 1, 0.0)})
+
+
+@pytest.mark.parametrize("categories, core", [(["driverId", "constructorId"], 9), (["driverId", "constructorId"], 2), (["driverId"], 3)])
+def test_many_slots_are_fitted_as_few_are(spark, cars_rows, monkeypatch, categories, core):
+    """One large category, and two nested ones, outside the dense core."""
+    parts = splits(cars_rows)
+    encoders = [prep.fit_preprocessor(t, categories, ["grid", "laps"]).stages[0] for t, _ in parts]
+    points = RIDGE + NET
+    rows = G.encode(parts, encoders)
+    want = {(r["fold"], r["point"]): r for r in G.fit_grid(rows, encoders, points).collect()}
+    monkeypatch.setattr(W, "MAX_CORE", core)
+    assert W.solvable(rows, encoders)
+    fits = W.fit_grid(rows, encoders, points).collect()
+    assert len(fits) == len(want)
+    for r in fits:
+        a, b = want[r["fold"], r["point"]], r
+        assert b["violation"] < 1e-6 and a["n"] == b["n"]
+        if "l1_ratio" not in points[r["point"]]:
+            assert np.allclose(a["coefficients"], b["coefficients"], atol=1e-3) and a["intercept"] == pytest.approx(b["intercept"])
+
+
+def test_crossed_categories_are_not_eliminated(spark, cars_rows, monkeypatch):
+    parts = splits(cars_rows.withColumn("other", F.col("id") % 11))
+    encoders = [prep.fit_preprocessor(t, ["driverId", "other"], ["grid"]).stages[0] for t, _ in parts]
+    monkeypatch.setattr(W, "MAX_CORE", 2)
+    assert not W.solvable(G.encode(parts, encoders), encoders)
