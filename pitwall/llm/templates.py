@@ -205,6 +205,8 @@ def templates(pages: DataFrame, share: float = SHARE, least: int = CLASS) -> Dat
     """(host, main, texts, wrappers): the path of the deepest template element around
     all slots (NULL where no template is found), the text tokens of the template, and
     the paths that have a mark but hold more than half of the text of their pages.
+    A text belongs to the template if it is in one class with nested elements and stands
+    in ``main``; text that comes and goes by itself is a slot's, however frequent.
 
     A token's occurrence vector is summed up as an order-free digest of its counts
     by page, so each task combines its own pages and a host with very many pages
@@ -228,8 +230,10 @@ def templates(pages: DataFrame, share: float = SHARE, least: int = CLASS) -> Dat
     top = nested.groupBy("host").agg(F.max("chars").alias("top"))
     deep = nested.join(top, "host").filter((F.col("chars") > 0) & (F.col("chars") == F.col("top")))
     main = deep.groupBy("host").agg(F.max_by("path", F.struct(F.length("path") - F.length(F.translate("path", "/", "")), "chars", "path")).alias("main"))
-    fixed = frequent.filter(F.col("is_text") & (F.col("support") >= TEXT_SHARE * F.col("pages")) & (F.col("pages") >= TEXT_PAGES)
-                            & (2 * F.col("articles") > F.col("pages")))
+    often = valid.filter(F.col("is_text") & (F.col("support") >= TEXT_SHARE * F.col("pages")) & (F.col("pages") >= TEXT_PAGES)
+                         & (2 * F.col("articles") > F.col("pages")))
+    inside = F.startswith(F.expr("substr(token, 2)"), F.col("main")) & F.expr("substr(token, 2 + length(main), 1)").isin("/", " ")
+    fixed = often.join(nested.select("host", "vector").distinct(), ["host", "vector"], "left_semi").join(main, "host").filter(inside)
     texts = fixed.groupBy("host").agg(F.collect_list("token").alias("texts"))
     holds = per_token.filter((F.col("total") > 0) & (2 * F.col("chars") > F.col("total")))
     wrappers = holds.groupBy("host").agg(F.collect_list(F.expr("substr(token, 2)")).alias("wrappers"))

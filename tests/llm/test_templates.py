@@ -74,3 +74,11 @@ def test_marks_on_what_holds_the_article(spark):
     got = {r["page_id"]: r["text"] for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[i] == f"Title {i}\n\nPart {'long ' * 20}{i}" for i in range(12))
     assert got[100] == "One two\n\nthree"
+
+
+def test_template_texts_are_those_of_its_classes(spark):
+    """A line of the article on 24 of 25 pages is in no class with an element; a note in its own element is."""
+    rows = [(i, f"http://a.org/{i}", f"<html><body><article><h1>Title {i}</h1><p>Part {i}</p>{'<p>So much for today.</p>' if i != 3 else '<p>More soon.</p>'}</article>"
+             + ("<section><b>All rights reserved</b></section>" if i != 5 else "") + "<div>Same on all pages</div></body></html>") for i in range(25)]
+    got = {r["page_id"]: r["text"] for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Title {i}\n\nPart {i}\n\n" + ("More soon." if i == 3 else "So much for today.") for i in range(25)}
