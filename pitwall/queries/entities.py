@@ -162,7 +162,8 @@ _SEASON_COLS = ["driverId", "year", "n_races", "n_finish", "finish_rate", "podiu
 
 
 def driver_season(spark, sf, min_races=5, quali=True):
-    return P.driver_season(R.results(spark, sf), R.races(spark, sf), R.qualifying(spark, sf) if quali else None, min_races)
+    c = R.written_cars(spark, sf) if quali else None  # cut twice then
+    return P.driver_season(R.results(spark, sf, c), R.races(spark, sf), R.qualifying(spark, sf, c) if quali else None, min_races)
 
 
 @query("agg_entity_season", _SEASON + f"SELECT {', '.join(_SEASON_COLS)} FROM a JOIN m USING (driverId, year)")
