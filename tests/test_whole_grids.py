@@ -3,7 +3,7 @@
 import pytest
 
 from pitwall.models import estimators as M
-from pitwall.queries import fitted
+from pitwall.queries import QUERIES, fitted
 
 
 def test_single_fits_run_to_their_end():
@@ -27,3 +27,17 @@ def test_the_search_runs_whole_grids(monkeypatch):
         fitted.eval_grid_cv(None, "")
     assert {p["C"] for p in pools["logreg"]} == {0.1, 1.0, 10.0} and {p["C"] for p in pools["linear_svc"]} == {0.5, 1.0, 2.0}
     assert not any("max_iter" in p for grid in pools.values() for p in grid)
+
+
+@pytest.mark.parametrize("name,trees", [("model_rf_cls", 300)])
+def test_the_forest_is_a_point_of_the_whole_grid(monkeypatch, name, trees):
+    seen = {}
+
+    def stop(spark, sf, model, params=None, weighted=None):
+        seen.update(params)
+        raise InterruptedError
+
+    monkeypatch.setattr(fitted, "_fit_cls", stop)
+    with pytest.raises(InterruptedError):
+        QUERIES[name](None, "")
+    assert seen["n_estimators"] >= trees and seen in fitted._candidate(M.classifiers(full=True), "rf").grid
